@@ -109,7 +109,7 @@ def vq6(t):
 def vq7(t):
     signups = layers.dim_fans(t).groupBy(calendar_date("signup_date", "month").alias("signup_month"), "account_type")
     return signups.agg(
-        F.count(F.lit(1)).alias("new_fans"), rounded(F.avg("lifetime_interactions"), 4).alias("avg_interactions")
+        F.count("*").alias("new_fans"), rounded(F.avg("lifetime_interactions"), 4).alias("avg_interactions")
     ).orderBy(F.desc("signup_month"))
 
 
@@ -133,7 +133,7 @@ def vq8(t):
 )
 def vq9(t):
     catalog = layers.dim_titles(t).groupBy("genre", "rating").agg(
-        F.count(F.lit(1)).alias("title_count"),
+        F.count("*").alias("title_count"),
         rounded(F.avg("imdb_score"), 4).alias("avg_imdb_score"),
         rounded(F.avg("runtime_minutes"), 4).alias("avg_runtime"),
         rounded(F.sum("budget_usd"), 2).alias("total_budget"),
@@ -434,7 +434,7 @@ def gq7(t):
         "title_id", "director", "title_name", "release_year"
     )
     return domain.fan_events(t).join(films, "title_id").groupBy("director", "title_name", "release_year").agg(
-        rounded(ratio(F.sum("value"), F.count(F.lit(1))), 4).alias("avg_fan_sentiment")
+        rounded(ratio(F.sum("value"), F.count("*")), 4).alias("avg_fan_sentiment")
     ).orderBy("release_year")
 
 
@@ -451,7 +451,7 @@ def gq7(t):
 )
 def gq9(t):
     buzz = domain.fan_events(t).where(F.col("event_type") == "CLICK").groupBy("title_id").agg(
-        ratio(F.sum("value"), F.count(F.lit(1))).alias("buzz_score")
+        ratio(F.sum("value"), F.count("*")).alias("buzz_score")
     )
     first = fact_with_titles(t, "release_date").where(F.col("report_date") <= F.date_add("release_date", 7))
     first = first.groupBy("title_id").agg(F.sum("total_gross_usd").cast("double").alias("week1_revenue"))
@@ -499,7 +499,7 @@ def gq10(t):
 )
 def rq1(t):
     return domain.titles_raw(t).groupBy(F.col("franchise").alias("source_file")).agg(
-        F.count(F.lit(1)).alias("titles"),
+        F.count("*").alias("titles"),
         F.count_if(F.col("production_status") == "RELEASED").alias("released"),
     )
 

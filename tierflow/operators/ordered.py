@@ -24,7 +24,7 @@ _BLOCK = 100_000
 
 def largest_group(df: DataFrame, keys: Sequence[str]) -> int:
     """Rows of the biggest key; counted with map-side combine on the key columns only."""
-    per_key = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
+    per_key = df.groupBy(*keys).agg(F.count("*").alias("n"))
     return per_key.agg(F.max("n")).first()[0] or 0
 
 
@@ -70,7 +70,7 @@ def running_totals(
     per_slice = rows.groupBy("_slice", *keys).agg(*[F.sum(inputs[n]).alias(f"_t_{n}") for n in totals])
     carry = per_slice.withColumns(
         {
-            "_earlier": F.count(F.lit(1)).over(before),
+            "_earlier": F.count("*").over(before),
             **{f"_carry_{n}": F.sum(f"_t_{n}").over(before) for n in totals},
         }
     ).where(F.col("_earlier") > 0)
@@ -100,7 +100,7 @@ def last_known(df: DataFrame, keys: Sequence[str], order: Sequence[str], values:
     before = W.partitionBy(*keys).orderBy("_slice").rowsBetween(W.unboundedPreceding, -1)
     carry = per_slice.withColumns(
         {
-            "_earlier": F.count(F.lit(1)).over(before),
+            "_earlier": F.count("*").over(before),
             **{f"_carry_{v}": F.last(f"_t_{v}", ignorenulls=True).over(before) for v in values},
         }
     ).where(F.col("_earlier") > 0)
@@ -150,7 +150,7 @@ def quantiles(
     Values are counted first (map-side combine), then located by their running count.
     """
     keys = list(keys)
-    counts = df.where(F.col(value).isNotNull()).groupBy(*keys, value).agg(F.count(F.lit(1)).alias("_n"))
+    counts = df.where(F.col(value).isNotNull()).groupBy(*keys, value).agg(F.count("*").alias("_n"))
     ranked = running_totals(counts, keys, [value], {"_upto": F.col("_n")})
     sizes = counts.groupBy(*keys).agg(F.sum("_n").alias("_size"))
     if keys:
@@ -180,5 +180,5 @@ def quantiles(
 
 def mode_of(df: DataFrame, keys: Sequence[str], value: str, name: str) -> DataFrame:
     """Most frequent non-null value per key, the smallest on a tie; counts first, so no key is gathered whole."""
-    counts = df.where(F.col(value).isNotNull()).groupBy(*keys, value).agg(F.count(F.lit(1)).alias("_n"))
+    counts = df.where(F.col(value).isNotNull()).groupBy(*keys, value).agg(F.count("*").alias("_n"))
     return counts.groupBy(*keys).agg(F.min_by(value, F.struct(-F.col("_n"), F.col(value))).alias(name))

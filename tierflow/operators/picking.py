@@ -30,7 +30,7 @@ def latest(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> DataF
 def global_rank(df: DataFrame, value: str, tie: str, row_number: str, rank: str) -> DataFrame:
     """Descending row number and rank over all rows, without gathering them in one task when they are many."""
     keyed = df.withColumn("_neg", -F.col(value))
-    counts = keyed.groupBy("_neg").agg(F.count(F.lit(1)).alias("_n"))
+    counts = keyed.groupBy("_neg").agg(F.count("*").alias("_n"))
     starts = running_totals(counts, [], ["_neg"], {"_upto": F.col("_n")}).select(
         F.col("_neg").alias("_v"), (F.col("_upto") - F.col("_n") + 1).alias(rank)
     )

@@ -78,7 +78,7 @@ def fan_stats(events: DataFrame) -> DataFrame:
         .agg(
             F.min("event_ts").alias("first_seen"),
             F.max("event_ts").alias("last_seen"),
-            F.count(F.lit(1)).alias("interaction_count"),
+            F.count("*").alias("interaction_count"),
             F.countDistinct("title_id").alias("titles_engaged"),
             F.mode("device_type", True).alias("preferred_device"),
             F.mode("region", True).alias("primary_region"),
