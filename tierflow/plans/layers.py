@@ -19,6 +19,11 @@ def route(events: DataFrame, verified_labels=("VERIFIED",)) -> tuple[DataFrame,
     return verified, guest
 
 
+def empty_identity() -> list:
+    """The identity columns a routed side may carry, as nulls."""
+    return [F.lit(None).cast("string").alias(c) for c in ("fan_id", "email", "first_name", "last_name", "session_id")]
+
+
 def unify(verified: DataFrame, guest: DataFrame) -> DataFrame:
     """Both routed sides in one frame: missing identity columns are null, the side is tagged."""
     left = verified.withColumn("account_type", F.lit("VERIFIED"))

@@ -41,6 +41,11 @@ def append_once(stream: DataFrame, target: str, checkpoint: str) -> StreamingQue
     return _each_batch(stream, checkpoint, write)
 
 
+def skip_existing(stream: DataFrame, checkpoint: str) -> StreamingQuery:
+    """Moves the offset past everything present, so that the next run sees only what arrives later."""
+    return _each_batch(stream, checkpoint, lambda batch, batch_id: None)
+
+
 def fan_out(
     stream: DataFrame, split: Callable[[DataFrame], Mapping[str, DataFrame]], target: str, checkpoint: str
 ) -> StreamingQuery:
