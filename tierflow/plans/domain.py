@@ -27,9 +27,13 @@ class Tables:
     def __init__(self, spark: SparkSession, folder: str):
         self.spark = tune(spark)
         self.folder = folder.rstrip("/")
+        self._read: dict[str, DataFrame] = {}
 
     def __call__(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        # One reader per table: listing files and reading footers happens once per query.
+        if name not in self._read:
+            self._read[name] = self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        return self._read[name]
 
     def __getattr__(self, name: str) -> DataFrame:
         if name.startswith("_"):
@@ -44,17 +48,27 @@ def country_code(nation_key: str) -> Column:
 
 
 def places(t: Tables) -> DataFrame:
-    """Nation with its region; 25 rows in this schema, joined by size."""
+    """Nation with its region."""
     return t.nation.join(t.region, F.col("n_regionkey") == F.col("r_regionkey")).select(
         "n_nationkey", "n_name", F.col("r_name").alias("region"), country_code("n_nationkey").alias("country_code")
     )
 
 
+def with_place(df: DataFrame, t: Tables, nation_key: str, how: str) -> DataFrame:
+    """Adds nation and region one table at a time.
+
+    Joining plain tables keeps their size known, so Spark broadcasts the small ones without first
+    shuffling the large side; a joined dimension would look large to it.
+    """
+    joined = df.join(t.nation, F.col(nation_key) == F.col("n_nationkey"), how)
+    joined = joined.join(t.region, F.col("n_regionkey") == F.col("r_regionkey"), how)
+    return joined.withColumns({"region": F.col("r_name"), "country_code": country_code("n_nationkey")})
+
+
 def fan_events(t: Tables) -> DataFrame:
     verified = F.col("user_id") % 3 == 0
-    people = t.customer.join(places(t), F.col("c_nationkey") == F.col("n_nationkey"), "left")
-    joined = t.events.join(people, F.col("user_id") == F.col("c_custkey"), "left")
-    return joined.select(
+    joined = t.events.join(t.customer, F.col("user_id") == F.col("c_custkey"), "left")
+    return with_place(joined, t, "c_nationkey", "left").select(
         F.col("event_id").alias("interaction_id"),
         F.when(verified, F.lit("VERIFIED")).otherwise(F.lit("GUEST")).alias("account_type"),
         F.when(verified, F.col("user_id")).alias("fan_id"),
@@ -99,11 +113,11 @@ def titles(t: Tables) -> DataFrame:
 
 def box_office(t: Tables) -> DataFrame:
     """Box-office records before deduplication."""
-    theaters = t.supplier.join(places(t), F.col("s_nationkey") == F.col("n_nationkey"))
+    joined = t.lineitem.join(t.orders, F.col("l_orderkey") == F.col("o_orderkey"))
+    joined = joined.join(t.supplier, F.col("l_suppkey") == F.col("s_suppkey"))
     local = F.element_at(F.array(*[F.lit(c) for c in CURRENCIES]), (F.col("n_nationkey") % 5 + 1).cast("int"))
     return (
-        t.lineitem.join(t.orders, F.col("l_orderkey") == F.col("o_orderkey"))
-        .join(theaters, F.col("l_suppkey") == F.col("s_suppkey"))
+        with_place(joined, t, "s_nationkey", "inner")
         .select(
             (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("record_id"),
             (F.col("l_partkey") % TITLE_COUNT).alias("title_id"),

@@ -18,6 +18,8 @@ _RUNTIME_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     # A hot join key is split even where that costs another shuffle for the aggregate above it.
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    # An aggregate or window is not run on a partitioning by some of its keys only: one of them may be hot.
+    "spark.sql.requireAllClusterKeysForDistribution": "true",
 }
 
 
