@@ -139,6 +139,22 @@ def st6(t):
     return merged.drop("ingestion_ts").withColumn("gross_usd", rounded("gross_usd", 4))
 
 
+@query(
+    "st6_upsert_touched_partitions",
+    f"""SELECT year(o_orderdate) AS year, count(*) AS orders, {r("sum(CASE WHEN o_orderpriority = '1-URGENT' AND o_orderdate >= TIMESTAMP '2000-01-01' THEN 0 ELSE CAST(o_totalprice AS DECIMAL(15,2)) END)", 2)} AS total FROM orders GROUP BY 1""",
+)
+def st6_touched(t):
+    path = work_path(t.spark, "orders-by-year")
+    rows = t.orders.select("o_orderkey", money("o_totalprice").alias("price"), F.year("o_orderdate").alias("year"))
+    merging.replace_partitions(rows, path, ["year"])
+    waived = t.orders.where((F.col("o_orderpriority") == "1-URGENT") & (F.col("o_orderdate") >= ntz("2000-01-01")))
+    waived = waived.select("o_orderkey", F.lit(0).cast("decimal(15,2)").alias("price"), F.year("o_orderdate").alias("year"))
+    merging.upsert_touched_partitions(t.spark, path, waived, ["o_orderkey", "year"], ["price"], ["year"])
+    return t.spark.read.parquet(path).groupBy(F.col("year").cast("bigint").alias("year")).agg(
+        F.count("*").alias("orders"), rounded(F.sum("price"), 2).alias("total")
+    )
+
+
 @query(
     "st7_apply_changes",
     """WITH f AS (SELECT o_custkey, o_totalprice, CASE o_orderstatus WHEN 'F' THEN 'DELETE' WHEN 'P' THEN 'UPDATE' ELSE 'INSERT' END AS a FROM orders

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from tierflow.catalog import query
 from tierflow.catalog.sqltext import r
-from tierflow.functions.columns import money, rounded, variant_fields
+from tierflow.functions.columns import money, rounded, parse_variant
 from tierflow.session import work_path
 from tierflow.sources import landing
 from tierflow.streaming import feeds
@@ -213,4 +213,4 @@ def s14(t):
 def s1_parse(t):
     raw = landing.land_raw(t.spark, events_as_json(t), "events")
     fields = {"event_id": "bigint", "user_id": "bigint", "event_type": "string", "value": "double", "ts": "timestamp_ntz"}
-    return raw.select(*variant_fields("raw_data", fields))
+    return parse_variant(raw, "raw_data", fields)

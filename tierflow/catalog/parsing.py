@@ -34,8 +34,7 @@ def as_raw(df, fields):
 
 @query("p1_parse_fan_event", f"SELECT {', '.join(FAN_FIELDS)} FROM fans")
 def p1(t):
-    raw = as_raw(domain.fan_events(t), FAN_FIELDS)
-    return raw.select(*C.variant_fields("raw_data", FAN_FIELDS))
+    return C.parse_variant(as_raw(domain.fan_events(t), FAN_FIELDS), "raw_data", FAN_FIELDS)
 
 
 @query(
@@ -43,8 +42,7 @@ def p1(t):
     f"SELECT {', '.join(f for f in TITLE_FIELDS if f != 'budget_usd')}, CAST(budget_usd AS DOUBLE) AS budget_usd FROM titles_raw",
 )
 def p2(t):
-    raw = as_raw(domain.titles_raw(t), TITLE_FIELDS)
-    typed = raw.select(*C.variant_fields("raw_data", TITLE_FIELDS))
+    typed = C.parse_variant(as_raw(domain.titles_raw(t), TITLE_FIELDS), "raw_data", TITLE_FIELDS)
     return typed.withColumns({
         "budget_usd": F.col("budget_usd").cast("double"),
         "release_year": F.col("release_year").cast("int"),
@@ -57,7 +55,7 @@ def p2(t):
     {r('gross_usd', 4)} AS gross_usd FROM box""",
 )
 def p3(t):
-    typed = as_raw(domain.box_office(t), BOX_FIELDS).select(*C.variant_fields("raw_data", BOX_FIELDS))
+    typed = C.parse_variant(as_raw(domain.box_office(t), BOX_FIELDS), "raw_data", BOX_FIELDS)
     return typed.withColumns({"gross_local": rounded("gross_local", 2), "gross_usd": rounded("gross_usd", 4)})
 
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 NULL_TOKEN = "_null_"
@@ -44,9 +44,10 @@ def sha256(c: Column | str) -> Column:
     return F.sha2(as_col(c).cast("string"), 256)
 
 
-def variant_fields(raw: Column | str, fields: Mapping[str, str]) -> list[Column]:
-    """One typed column per field of a variant; a missing path or a wrong type gives null."""
-    return [F.try_variant_get(as_col(raw), f"$.{name}", kind).alias(name) for name, kind in fields.items()]
+def parse_variant(df: DataFrame, raw: str, fields: Mapping[str, str], keep: Sequence[str] = ()) -> DataFrame:
+    """Typed columns of a variant, read in one go; a missing path or a wrong type gives null in that field."""
+    shape = "struct<" + ", ".join(f"{name}: {kind}" for name, kind in fields.items()) + ">"
+    return df.select(*keep, F.try_variant_get(raw, "$", shape).alias("_parsed")).select(*keep, "_parsed.*")
 
 
 def one_of(c: Column | str, values: Sequence[str]) -> Column:

@@ -67,15 +67,13 @@ def asof_join(
     packed = F.struct(*carried)
     kept = [c for c in spine.columns if c not in keys]
     left = spine.select(
-        *keys, F.col(spine_at).alias("_at"), F.lit(1).alias("_side"), F.col(spine_id).cast("string").alias("_id"),
-        F.struct(*kept).alias("_row"),
-    )
+        *keys, F.col(spine_at).alias("_at"), F.lit(1).alias("_side"), F.col(spine_id).alias("_id"), F.struct(*kept).alias("_row")
+    )
     right = features.select(
-        *keys, F.col(feature_at).alias("_at"), F.lit(0).alias("_side"),
-        F.to_json(packed).alias("_id"), packed.alias("_feature"),
-    )
+        *keys, F.col(feature_at).alias("_at"), F.lit(0).alias("_side"), packed.alias("_tie"), packed.alias("_feature")
+    )
     stacked = left.unionByName(right, allowMissingColumns=True)
-    known = last_known(stacked, keys, ["_at", "_side", "_id"], ["_feature"])
+    known = last_known(stacked, keys, ["_at", "_side", "_id", "_tie"], ["_feature"])
     return known.where(F.col("_side") == 1).select(*keys, "_row.*", "_feature.*")
 
 

@@ -111,37 +111,42 @@ def titles(t: Tables) -> DataFrame:
     return latest(titles_raw(t), ["title_id"], [F.desc("version")]).drop("version")
 
 
-def box_office(t: Tables) -> DataFrame:
-    """Box-office records before deduplication."""
-    joined = t.lineitem.join(t.orders, F.col("l_orderkey") == F.col("o_orderkey"))
-    joined = joined.join(t.supplier, F.col("l_suppkey") == F.col("s_suppkey"))
+def box_office_core(t: Tables) -> DataFrame:
+    """Box-office records before deduplication, without the theater's attributes."""
+    net = F.lit(1).cast("decimal(4,2)") - F.col("l_discount").cast("decimal(4,2)")
+    return t.lineitem.join(t.orders, F.col("l_orderkey") == F.col("o_orderkey")).select(
+        (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("record_id"),
+        (F.col("l_partkey") % TITLE_COUNT).alias("title_id"),
+        F.col("l_suppkey").alias("theater_id"),
+        F.col("l_shipdate").cast("date").alias("report_date"),
+        F.col("l_quantity").cast("int").alias("tickets_sold"),
+        F.col("l_linenumber").alias("screen_count"),
+        money("l_extendedprice").alias("gross_local"),
+        (money("l_extendedprice") * net).alias("gross_usd"),
+        F.col("o_orderdate").alias("ingestion_ts"),
+    )
+
+
+def with_theater(records: DataFrame, t: Tables) -> DataFrame:
+    joined = records.join(t.supplier, F.col("theater_id") == F.col("s_suppkey"))
     local = F.element_at(F.array(*[F.lit(c) for c in CURRENCIES]), (F.col("n_nationkey") % 5 + 1).cast("int"))
-    return (
-        with_place(joined, t, "s_nationkey", "inner")
-        .select(
-            (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("record_id"),
-            (F.col("l_partkey") % TITLE_COUNT).alias("title_id"),
-            F.col("l_suppkey").alias("theater_id"),
-            F.col("s_name").alias("theater_name"),
-            F.col("l_shipdate").cast("date").alias("report_date"),
-            "region",
-            "country_code",
-            local.alias("local_currency"),
-            F.col("l_quantity").cast("int").alias("tickets_sold"),
-            F.col("l_linenumber").alias("screen_count"),
-            money("l_extendedprice").alias("gross_local"),
-            (money("l_extendedprice") * (F.lit(1).cast("decimal(4,2)") - F.col("l_discount").cast("decimal(4,2)"))).alias(
-                "gross_usd"
-            ),
-            F.col("o_orderdate").alias("ingestion_ts"),
-        )
+    return with_place(joined, t, "s_nationkey", "inner").select(
+        *records.columns, F.col("s_name").alias("theater_name"), "region", "country_code", local.alias("local_currency")
     )
 
 
-LATEST_RECORD = [F.desc, ("ingestion_ts", "record_id", "gross_usd", "tickets_sold")]
+def box_office(t: Tables) -> DataFrame:
+    """Box-office records before deduplication."""
+    return with_theater(box_office_core(t), t)
+
+
+NEWEST_RECORD = ("ingestion_ts", "record_id", "gross_usd", "tickets_sold")
 
 
 def box_office_dedup(t: Tables) -> DataFrame:
-    """Latest record per title, date and theater."""
-    desc, cols = LATEST_RECORD
-    return latest(box_office(t), ["title_id", "report_date", "theater_id"], [desc(c) for c in cols])
+    """Latest record per title, date and theater.
+
+    The theater is part of the key, so its attributes are joined afterwards and the shuffle carries numbers only.
+    """
+    newest = latest(box_office_core(t), ["title_id", "report_date", "theater_id"], [F.desc(c) for c in NEWEST_RECORD])
+    return with_theater(newest, t)
