@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tierflow.functions.columns import as_col, surrogate_key
-from tierflow.operators.ordered import over_neighbours
+from tierflow.operators.ordered import is_hot, over_neighbours
 from tierflow.operators.picking import latest
 
 OPEN_END = "9999-12-31"
@@ -21,12 +21,13 @@ def overwrite_latest(log: DataFrame, keys: Sequence[str], order: Sequence[str])
 
 def versions_from_log(log: DataFrame, key: str, at: str, tie: str, tracked: Sequence[str]) -> DataFrame:
     """Type 2: equal consecutive states become one version, valid until the next one begins."""
+    hot = is_hot(log, [key])
     rows = log.select(key, at, tie, F.struct(*tracked).alias("_state"))
     with_last = over_neighbours(
-        rows, [key], [at, tie], 1, 0, lambda w: {"_last": F.lag("_state").over(w), "_first": F.lag(tie).over(w).isNull()}
+        rows, [key], [at, tie], 1, 0, lambda w: {"_last": F.lag("_state").over(w), "_first": F.lag(tie).over(w).isNull()}, hot
     )
     changes = with_last.where(F.col("_first") | ~F.col("_state").eqNullSafe(F.col("_last"))).drop("_last", "_first")
-    ended = over_neighbours(changes, [key], [at, tie], 0, 1, lambda w: {"_next": F.lead(at).over(w)})
+    ended = over_neighbours(changes, [key], [at, tie], 0, 1, lambda w: {"_next": F.lead(at).over(w)}, hot)
     end = F.lit(OPEN_END).cast("timestamp_ntz")
     return ended.select(
         key, tie, "_state.*",

@@ -32,6 +32,11 @@ def is_hot(df: DataFrame, keys: Sequence[str]) -> bool:
     return largest_group(df, keys) > hot_group_rows(df.sparkSession)
 
 
+def _is_hot(df: DataFrame, keys: Sequence[str], known: bool | None) -> bool:
+    # A caller that runs several ordered steps over the same rows counts once and passes the answer on.
+    return is_hot(df, keys) if known is None else known
+
+
 def _sliced(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
     # The slice number must be the same for every reader, also after a lost executor: write it out once.
     spark = df.sparkSession
@@ -54,14 +59,14 @@ def _join_carry(rows: DataFrame, carry: DataFrame, keys: Sequence[str]) -> DataF
 
 
 def running_totals(
-    df: DataFrame, keys: Sequence[str], order: Sequence[str], totals: Mapping[str, Column]
+    df: DataFrame, keys: Sequence[str], order: Sequence[str], totals: Mapping[str, Column], hot: bool | None = None
 ) -> DataFrame:
     """Adds inclusive running sums over ``order`` within ``keys``."""
     keys, order = list(keys), list(order)
     inputs = {name: f"_in_{name}" for name in totals}
     df = df.withColumns({inputs[n]: c for n, c in totals.items()})
     frame = (W.unboundedPreceding, W.currentRow)
-    if not is_hot(df, keys):
+    if not _is_hot(df, keys, hot):
         w = W.partitionBy(*keys).orderBy(*order).rowsBetween(*frame)
         return df.withColumns({n: F.sum(inputs[n]).over(w) for n in totals}).drop(*inputs.values())
     rows = _sliced(df, keys, order)
@@ -81,8 +86,10 @@ def running_totals(
     return out.drop("_slice", *inputs.values(), *[f"_carry_{n}" for n in totals])
 
 
-def row_numbers(df: DataFrame, keys: Sequence[str], order: Sequence[str], name: str = "row_number") -> DataFrame:
-    return running_totals(df, keys, order, {name: F.lit(1).cast("bigint")})
+def row_numbers(
+    df: DataFrame, keys: Sequence[str], order: Sequence[str], name: str = "row_number", hot: bool | None = None
+) -> DataFrame:
+    return running_totals(df, keys, order, {name: F.lit(1).cast("bigint")}, hot)
 
 
 def last_known(df: DataFrame, keys: Sequence[str], order: Sequence[str], values: Sequence[str]) -> DataFrame:
@@ -118,16 +125,17 @@ def over_neighbours(
     before: int,
     after: int,
     build: Callable[[WindowSpec], Mapping[str, Column]],
+    hot: bool | None = None,
 ) -> DataFrame:
     """Window columns that look at most ``before`` rows back and ``after`` rows ahead (lag, lead, ROWS frames).
 
     A hot key is numbered, cut into blocks, and each block borrows the few rows it needs from its neighbours.
     """
     keys, order = list(keys), list(order)
-    if not is_hot(df, keys):
+    if not _is_hot(df, keys, hot):
         return df.withColumns(dict(build(W.partitionBy(*keys).orderBy(*order))))
     size = max(min(_BLOCK, hot_group_rows(df.sparkSession)), before + after + 1)
-    numbered = row_numbers(df, keys, order, "_rn")
+    numbered = row_numbers(df, keys, order, "_rn", hot=True)
     pos = (F.col("_rn") - 1) % size
     home = F.floor((F.col("_rn") - 1) / size)
     blocks = F.array_compact(
