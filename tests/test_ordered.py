@@ -137,3 +137,10 @@ def test_top_n_and_samples(spark):
     top = picking.top_n(df, ["k"], [F.desc("at"), F.desc("id")], 2)
     assert top.groupBy("k").count().where("count != 2").count() == 0
     assert rows(df.where(picking.hash_bucket("id", 4) == 1)) == rows(df.where(picking.hash_bucket("id", 4) == 1))
+
+
+def test_hot_key_is_spread_over_slices(hot):
+    rows_n, key = 4000, F.lit("hot")
+    df = hot.range(rows_n).select("id", key.alias("k"))
+    sizes = [r["count"] for r in ordered._sliced(df, ["k"], ["id"]).groupBy("_slice").count().collect()]
+    assert len(sizes) == 8 and max(sizes) < rows_n / 4

@@ -83,6 +83,15 @@ JOINED = """lineitem LEFT JOIN orders ON l_orderkey = o_orderkey LEFT JOIN custo
   LEFT JOIN nation ON c_nationkey = n_nationkey LEFT JOIN region ON n_regionkey = r_regionkey LEFT JOIN part ON l_partkey = p_partkey"""
 
 
+@query(
+    "m1_dimension_values",
+    """SELECT DISTINCT c_mktsegment AS segment, r_name AS region FROM customer LEFT JOIN nation ON c_nationkey = n_nationkey
+    LEFT JOIN region ON n_regionkey = r_regionkey""",
+)
+def m1(t):
+    return ask(MODEL, t, ["segment", "market"])
+
+
 @query(
     "m2_join_only_when_needed",
     f"SELECT l_linestatus AS line_status, {r(f'sum({NET})', 2)} AS revenue FROM lineitem GROUP BY 1",

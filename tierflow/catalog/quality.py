@@ -58,17 +58,27 @@ def d3(t):
 
 
 @query(
-    "d4_to_d6_negative_null_duplicate",
-    """SELECT 'customer' AS table_name, 'negative_balance' AS metric, CAST(count(*) FILTER (WHERE c_acctbal < 0) AS DOUBLE) AS value FROM customer
-    UNION ALL SELECT 'customer', 'null_segment', CAST(count(*) FILTER (WHERE c_mktsegment IS NULL) AS DOUBLE) FROM customer
-    UNION ALL SELECT 'customer', 'duplicate_nation', CAST(count(*) - count(DISTINCT c_nationkey) AS DOUBLE) FROM customer""",
+    "d4_negative_values",
+    "SELECT 'customer' AS table_name, 'negative_balance' AS metric, CAST(count(*) FILTER (WHERE c_acctbal < 0) AS DOUBLE) AS value FROM customer",
 )
-def d456(t):
-    return measure(t.customer, "customer", {
-        "negative_balance": checks.negatives("c_acctbal"),
-        "null_segment": checks.nulls("c_mktsegment"),
-        "duplicate_nation": checks.duplicates("c_nationkey"),
-    })
+def d4(t):
+    return measure(t.customer, "customer", {"negative_balance": checks.negatives("c_acctbal")})
+
+
+@query(
+    "d5_null_count",
+    "SELECT 'fans' AS table_name, 'null_fan_id' AS metric, CAST(count(*) FILTER (WHERE fan_id IS NULL) AS DOUBLE) AS value FROM fans",
+)
+def d5(t):
+    return measure(domain.fan_events(t), "fans", {"null_fan_id": checks.nulls("fan_id")})
+
+
+@query(
+    "d6_duplicate_count",
+    """SELECT 'fans' AS table_name, 'duplicate_fan_id' AS metric, CAST(count(*) - count(DISTINCT fan_id) AS DOUBLE) AS value FROM fans""",
+)
+def d6(t):
+    return measure(domain.fan_events(t), "fans", {"duplicate_fan_id": checks.duplicates("fan_id")})
 
 
 @query(
