@@ -65,9 +65,16 @@ def with_place(df: DataFrame, t: Tables, nation_key: str, how: str) -> DataFrame
     return joined.withColumns({"region": F.col("r_name"), "country_code": country_code("n_nationkey")})
 
 
-def fan_events(t: Tables) -> DataFrame:
+def since_date(df: DataFrame, at: str, since: Column | None, shift_days: int = 0) -> DataFrame:
+    """Rows from a date on, as a bound on the raw time column so that the scan can skip files and row groups."""
+    if since is None:
+        return df
+    return df.where(F.col(at) >= F.date_add(since, shift_days).cast("timestamp_ntz"))
+
+
+def fan_events(t: Tables, since: Column | None = None) -> DataFrame:
     verified = F.col("user_id") % 3 == 0
-    joined = t.events.join(t.customer, F.col("user_id") == F.col("c_custkey"), "left")
+    joined = since_date(t.events, "ts", since, SHIFT_DAYS).join(t.customer, F.col("user_id") == F.col("c_custkey"), "left")
     return with_place(joined, t, "c_nationkey", "left").select(
         F.col("event_id").alias("interaction_id"),
         F.when(verified, F.lit("VERIFIED")).otherwise(F.lit("GUEST")).alias("account_type"),
@@ -111,10 +118,11 @@ def titles(t: Tables) -> DataFrame:
     return latest(titles_raw(t), ["title_id"], [F.desc("version")]).drop("version")
 
 
-def box_office_core(t: Tables) -> DataFrame:
+def box_office_core(t: Tables, since: Column | None = None) -> DataFrame:
     """Box-office records before deduplication, without the theater's attributes."""
+    lines = since_date(t.lineitem, "l_shipdate", since)
     net = F.lit(1).cast("decimal(4,2)") - F.col("l_discount").cast("decimal(4,2)")
-    return t.lineitem.join(t.orders, F.col("l_orderkey") == F.col("o_orderkey")).select(
+    return lines.join(t.orders, F.col("l_orderkey") == F.col("o_orderkey")).select(
         (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("record_id"),
         (F.col("l_partkey") % TITLE_COUNT).alias("title_id"),
         F.col("l_suppkey").alias("theater_id"),
@@ -122,7 +130,8 @@ def box_office_core(t: Tables) -> DataFrame:
         F.col("l_quantity").cast("int").alias("tickets_sold"),
         F.col("l_linenumber").alias("screen_count"),
         money("l_extendedprice").alias("gross_local"),
-        (money("l_extendedprice") * net).alias("gross_usd"),
+        # At most 18 digits: such decimals are fixed-width longs in Spark's rows and cheap to sort.
+        (F.col("l_extendedprice").cast("decimal(12,2)") * net).cast("decimal(18,4)").alias("gross_usd"),
         F.col("o_orderdate").alias("ingestion_ts"),
     )
 
@@ -135,18 +144,20 @@ def with_theater(records: DataFrame, t: Tables) -> DataFrame:
     )
 
 
-def box_office(t: Tables) -> DataFrame:
+def box_office(t: Tables, since: Column | None = None) -> DataFrame:
     """Box-office records before deduplication."""
-    return with_theater(box_office_core(t), t)
+    return with_theater(box_office_core(t, since), t)
 
 
 NEWEST_RECORD = ("ingestion_ts", "record_id", "gross_usd", "tickets_sold")
 
 
-def box_office_dedup(t: Tables) -> DataFrame:
-    """Latest record per title, date and theater.
+def box_office_dedup(t: Tables, since: Column | None = None, title: Column | None = None) -> DataFrame:
+    """Latest record per title, date and theater, from a date on or of one title if asked: both are key columns.
 
     The theater is part of the key, so its attributes are joined afterwards and the shuffle carries numbers only.
     """
-    newest = latest(box_office_core(t), ["title_id", "report_date", "theater_id"], [F.desc(c) for c in NEWEST_RECORD])
+    core = box_office_core(t, since)
+    core = core if title is None else core.where(F.col("title_id") == title)
+    newest = latest(core, ["title_id", "report_date", "theater_id"], [F.desc(c) for c in NEWEST_RECORD])
     return with_theater(newest, t)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tierflow.functions.columns import ratio, sha256, surrogate_key
@@ -67,8 +67,11 @@ def daily_performance(theatrical: DataFrame, fans: DataFrame) -> DataFrame:
     return joined.select(*DAILY_KEYS, *[F.coalesce(F.col(m), F.lit(0)).alias(m) for m in MEASURES])
 
 
-def fact_daily(t: Tables) -> DataFrame:
-    daily = daily_performance(theatrical_daily(domain.box_office_dedup(t)), fan_daily(domain.fan_events(t)))
+def fact_daily(t: Tables, since: Column | None = None, title: Column | None = None) -> DataFrame:
+    """The daily fact. Date and title are keys of every step, so limiting them limits the scans, not the finished fact."""
+    events = domain.fan_events(t, since)
+    events = events if title is None else events.where(F.col("title_id") == title)
+    daily = daily_performance(theatrical_daily(domain.box_office_dedup(t, since, title)), fan_daily(events))
     return daily.select(surrogate_key(*DAILY_KEYS).alias("performance_key"), *DAILY_KEYS, *MEASURES)
 
 
@@ -168,10 +171,10 @@ def last_event_date(t: Tables):
 
 
 def last_report_date(t: Tables):
-    """Scalar subquery: the newest report date over ships and events."""
-    ships = domain.box_office(t).select("report_date")
-    seen = domain.fan_events(t).select(F.col("event_ts").cast("date").alias("report_date"))
-    return ships.unionByName(seen).agg(F.max("report_date").alias("d")).scalar()
+    """Scalar subquery: the newest date over ships and events, read from two single columns."""
+    ships = t.lineitem.agg(F.max("l_shipdate").cast("date").alias("d"))
+    seen = t.events.agg(F.max("ts").cast("date").alias("d")).select(F.date_sub("d", domain.SHIFT_DAYS).alias("d"))
+    return ships.unionByName(seen).agg(F.max("d").alias("d")).scalar()
 
 
 def agg_fan_value(t: Tables) -> DataFrame:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from tierflow.plans import domain, layers
 from tierflow.plans.domain import Tables
@@ -26,4 +27,6 @@ def refresh(t: Tables, root: str) -> dict[str, DataFrame]:
     store("dim_fans", layers.dim_fans_of(done["fans_unified"]))
     store("dim_titles", done["titles_parsed"])
     store("agg_franchise", layers.franchise_performance(done["fact_daily"], done["dim_titles"]))
+    fans = done["dim_fans"].withColumn("as_of", layers.last_event_date(t))
+    store("agg_fan_value", layers.fan_value(fans, F.col("as_of")))
     return done
