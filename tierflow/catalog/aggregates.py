@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from tierflow.catalog import query
 from tierflow.catalog.sqltext import r
-from tierflow.functions.columns import calendar_date, hour_of, money, ratio, rounded
+from tierflow.functions.columns import calendar_date, hour_of, money, newest, ratio, rounded
 from tierflow.operators import ordered, picking
 from tierflow.plans import domain, layers
 from tierflow.plans.refresh import refresh
@@ -239,9 +239,8 @@ def a12(t):
     FROM customer CROSS JOIN m LEFT JOIN events ON user_id = c_custkey AND ts >= m.d - INTERVAL 30 DAY GROUP BY c_custkey""",
 )
 def a13(t):
-    newest = t.events.agg(F.max("ts").alias("d")).scalar()
-    recent = t.events.where(F.col("ts") >= newest - F.expr("INTERVAL 30 DAYS"))
-    recent = recent.withColumn("last_week", F.col("ts") >= newest - F.expr("INTERVAL 7 DAYS"))
+    month, week = (newest(t.events, "ts", lambda m, d=d: m - F.expr(f"INTERVAL {d} DAYS")) for d in (30, 7))
+    recent = t.events.where(F.col("ts") >= month).withColumn("last_week", F.col("ts") >= week)
     error = F.when(F.col("event_type") == "error", 1).otherwise(0)
     per_user = recent.groupBy(F.col("user_id").alias("c_custkey")).agg(
         rounded(F.avg("value"), 4).alias("avg_value_30d"),

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from tierflow.catalog import query
 from tierflow.catalog.sqltext import r
-from tierflow.functions.columns import calendar_date, rounded
+from tierflow.functions.columns import calendar_date, newest, rounded
 from tierflow.operators import joining
 from tierflow.plans import domain, layers
 
@@ -123,8 +123,8 @@ def j7(t):
     LEFT JOIN (SELECT user_id AS u, count(*) AS errors FROM events WHERE event_type = 'error' GROUP BY 1) er ON er.u = c_custkey""",
 )
 def j8(t):
-    newest = t.orders.agg(F.max("o_orderdate").alias("d")).scalar()
-    recent = t.orders.where(F.col("o_orderdate") >= newest - F.expr("INTERVAL 12 MONTHS"))
+    start = newest(t.orders, "o_orderdate", lambda m: m - F.expr("INTERVAL 12 MONTHS"))
+    recent = t.orders.where(F.col("o_orderdate") >= start)
     orders = recent.groupBy(F.col("o_custkey").alias("c_custkey")).agg(
         F.count("*").alias("total_orders_12mo"), F.sum(price()).alias("amount")
     )
@@ -209,9 +209,9 @@ def j12(t):
       AND o_orderdate >= (SELECT max(o_orderdate) FROM orders) - INTERVAL 90 DAY GROUP BY c_custkey""",
 )
 def j13(t):
-    newest = t.orders.agg(F.max("o_orderdate").alias("d")).scalar()
+    start = newest(t.orders, "o_orderdate", lambda m: m - F.expr("INTERVAL 90 DAYS"))
     # The time condition concerns the right side only, so it filters there before the join.
-    recent = t.orders.where(F.col("o_orderdate") >= newest - F.expr("INTERVAL 90 DAYS"))
+    recent = t.orders.where(F.col("o_orderdate") >= start)
     return t.customer.join(recent, F.col("c_custkey") == F.col("o_custkey"), "left").groupBy("c_custkey").agg(
         F.count("o_orderkey").alias("recent_orders"), rounded(F.coalesce(F.sum(price()), F.lit(0)), 2).alias("recent_spend")
     )

@@ -161,8 +161,8 @@ def f1(t):
     "SELECT o_orderkey, o_orderdate FROM orders WHERE o_orderdate >= (SELECT max(o_orderdate) FROM orders) - INTERVAL 30 DAY",
 )
 def f2(t):
-    newest = t.orders.agg(F.max("o_orderdate").alias("d")).scalar()
-    return t.orders.where(F.col("o_orderdate") >= newest - F.expr("INTERVAL 30 DAYS")).select("o_orderkey", "o_orderdate")
+    start = C.newest(t.orders, "o_orderdate", lambda m: m - F.expr("INTERVAL 30 DAYS"))
+    return t.orders.where(F.col("o_orderdate") >= start).select("o_orderkey", "o_orderdate")
 
 
 @query(

@@ -40,6 +40,11 @@ def vq2(t):
     ).orderBy(F.desc("fan_count"))
 
 
+def since_last(t, shift):
+    """The start of a period that ends with the newest report date."""
+    return layers.last_report_date(t).select(shift(F.col("d")).alias("d"))
+
+
 def fact_with_titles(t, *columns, since=None):
     dim = layers.dim_titles(t).select("title_id", *columns)
     return layers.fact_daily(t, since).join(dim, "title_id")
@@ -193,7 +198,7 @@ def sq3(t):
     WHERE report_date >= (SELECT max(report_date) FROM fact) - 30 GROUP BY report_date""",
 )
 def sq4(t):
-    recent = layers.fact_daily(t, F.date_sub(layers.last_report_date(t), 30))
+    recent = layers.fact_daily(t, since_last(t, lambda d: F.date_sub(d, 30)))
     return recent.groupBy("report_date").agg(
         rounded(F.sum("total_gross_usd"), 2).alias("daily_revenue"), F.sum("total_tickets_sold").alias("daily_tickets")
     ).orderBy("report_date")
@@ -285,7 +290,7 @@ def eq3(t):
     ORDER BY report_date DESC, fact.total_gross_usd DESC, title_id, region LIMIT 20""",
 )
 def eq4(t):
-    recent = layers.fact_daily(t, F.date_sub(layers.last_report_date(t), 7))
+    recent = layers.fact_daily(t, since_last(t, lambda d: F.date_sub(d, 7)))
     top = recent.orderBy(F.desc("report_date"), F.desc("total_gross_usd"), "title_id", "region").limit(20)
     return top.select("title_id", "region", "report_date", "total_tickets_sold", usd(), "stream_count")
 
@@ -315,7 +320,7 @@ def fq2(t):
     WHERE report_date >= CAST((SELECT max(report_date) FROM fact) - INTERVAL 3 MONTH AS DATE)""",
 )
 def fq3(t):
-    recent = layers.fact_daily(t, F.add_months(layers.last_report_date(t), -3))
+    recent = layers.fact_daily(t, since_last(t, lambda d: F.add_months(d, -3)))
     return recent.select("title_id", "region", "report_date", usd(), "total_tickets_sold")
 
 
@@ -346,7 +351,7 @@ def fq5(t):
     WHERE report_date >= date_trunc('quarter', (SELECT max(report_date) FROM fact)) GROUP BY franchise""",
 )
 def gq1(t):
-    quarter = F.trunc(layers.last_report_date(t), "quarter")
+    quarter = since_last(t, lambda d: F.trunc(d, "quarter"))
     return fact_with_titles(t, "franchise", since=quarter).groupBy("franchise").agg(
         rounded(F.sum("total_gross_usd"), 2).alias("total_global_box_office")
     ).orderBy(F.desc("total_global_box_office"))
@@ -523,8 +528,8 @@ def rq2(t):
     WHERE report_date >= CAST((SELECT max(report_date) FROM box) - INTERVAL 2 YEAR AS DATE) GROUP BY 1, 2""",
 )
 def wq1(t):
-    newest = t.lineitem.agg(F.max("l_shipdate").cast("date").alias("d")).scalar()
-    recent = domain.box_office(t, F.add_months(newest, -24))
+    last = t.lineitem.agg(F.max("l_shipdate").cast("date").alias("d"))
+    recent = domain.box_office(t, last.select(F.add_months("d", -24).alias("d")))
     return recent.groupBy("region", calendar_date("report_date", "month").alias("month")).agg(
         rounded(F.sum("gross_usd"), 2).alias("total_sales"), F.countDistinct("theater_id").alias("unique_theaters")
     ).orderBy("region", "month")

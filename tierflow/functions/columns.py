@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -63,6 +63,14 @@ def case_map(c: Column | str, mapping: Mapping, default=None) -> Column:
     return out.otherwise(F.lit(default)) if out is not None else F.lit(default)
 
 
+def newest(df: DataFrame, c: str, shift: Callable[[Column], Column] = lambda m: m) -> Column:
+    """Scalar subquery: the largest value of a column, shifted inside the subquery.
+
+    Compared bare with a raw column, the subquery's value is pushed into the file scan.
+    """
+    return df.agg(F.max(c).alias("m")).select(shift(F.col("m")).alias("m")).scalar()
+
+
 def calendar_date(c: Column | str, unit: str) -> Column:
     """Start of the week, month, quarter or year as a date."""
     return F.trunc(as_col(c).cast("date"), unit)

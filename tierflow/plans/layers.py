@@ -67,7 +67,7 @@ def daily_performance(theatrical: DataFrame, fans: DataFrame) -> DataFrame:
     return joined.select(*DAILY_KEYS, *[F.coalesce(F.col(m), F.lit(0)).alias(m) for m in MEASURES])
 
 
-def fact_daily(t: Tables, since: Column | None = None, title: Column | None = None) -> DataFrame:
+def fact_daily(t: Tables, since: DataFrame | None = None, title: Column | None = None) -> DataFrame:
     """The daily fact. Date and title are keys of every step, so limiting them limits the scans, not the finished fact."""
     events = domain.fan_events(t, since)
     events = events if title is None else events.where(F.col("title_id") == title)
@@ -170,11 +170,11 @@ def last_event_date(t: Tables):
     return events.select((F.col("ts") - F.expr(f"INTERVAL {domain.SHIFT_DAYS} DAYS")).cast("date").alias("d")).scalar()
 
 
-def last_report_date(t: Tables):
-    """Scalar subquery: the newest date over ships and events, read from two single columns."""
+def last_report_date(t: Tables) -> DataFrame:
+    """One row with the newest date ``d`` over ships and events, read from two single columns."""
     ships = t.lineitem.agg(F.max("l_shipdate").cast("date").alias("d"))
     seen = t.events.agg(F.max("ts").cast("date").alias("d")).select(F.date_sub("d", domain.SHIFT_DAYS).alias("d"))
-    return ships.unionByName(seen).agg(F.max("d").alias("d")).scalar()
+    return ships.unionByName(seen).agg(F.max("d").alias("d"))
 
 
 def agg_fan_value(t: Tables) -> DataFrame:
