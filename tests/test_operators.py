@@ -260,3 +260,10 @@ def test_dedup_limits_before_the_shuffle(spark):
 
     plan = queries()["w1_keep_latest_lines"](spark, SMALL)._jdf.queryExecution().executedPlan().toString()
     assert plan.count("WindowGroupLimit") == 2
+
+
+def test_period_bound_reaches_both_scans(spark):
+    from __spark_entry__ import queries
+
+    plan = queries()["sq4_revenue_last_30_days"](spark, SMALL)._jdf.queryExecution().executedPlan().toString()
+    assert "GreaterThanOrEqual(l_shipdate" in plan and "GreaterThanOrEqual(ts" in plan

@@ -41,8 +41,8 @@ def vq2(t):
 
 
 def since_last(t, shift):
-    """The start of a period that ends with the newest report date."""
-    return layers.last_report_date(t).select(shift(F.col("d")).alias("d"))
+    """The start of a period that ends with the newest report date: one value, read before the query is built."""
+    return layers.last_report_date(t).select(shift(F.col("d"))).first()[0]
 
 
 def fact_with_titles(t, *columns, since=None):
@@ -529,7 +529,7 @@ def rq2(t):
 )
 def wq1(t):
     last = t.lineitem.agg(F.max("l_shipdate").cast("date").alias("d"))
-    recent = domain.box_office(t, last.select(F.add_months("d", -24).alias("d")))
+    recent = domain.box_office(t, last.select(F.add_months("d", -24)).first()[0])
     return recent.groupBy("region", calendar_date("report_date", "month").alias("month")).agg(
         rounded(F.sum("gross_usd"), 2).alias("total_sales"), F.countDistinct("theater_id").alias("unique_theaters")
     ).orderBy("region", "month")

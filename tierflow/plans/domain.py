@@ -5,6 +5,8 @@ Only references are chosen here; every row of the source tables takes part.
 
 from __future__ import annotations
 
+from datetime import date, timedelta
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -65,17 +67,14 @@ def with_place(df: DataFrame, t: Tables, nation_key: str, how: str) -> DataFrame
     return joined.withColumns({"region": F.col("r_name"), "country_code": country_code("n_nationkey")})
 
 
-def since_date(df: DataFrame, at: str, since: DataFrame | None, shift_days: int = 0) -> DataFrame:
-    """Rows from a date on; ``since`` is a one-row frame with the date ``d``.
-
-    The bound is finished inside a scalar subquery and compared with the raw column, so it reaches the file scan.
-    """
+def since_date(df: DataFrame, at: str, since: date | None, shift_days: int = 0) -> DataFrame:
+    """Rows from a date on, as a literal bound on the raw time column, which the file scan receives."""
     if since is None:
         return df
-    return df.where(F.col(at) >= since.select(F.date_add("d", shift_days).cast("timestamp_ntz").alias("d")).scalar())
+    return df.where(F.col(at) >= F.lit(since + timedelta(days=shift_days)).cast("timestamp_ntz"))
 
 
-def fan_events(t: Tables, since: DataFrame | None = None) -> DataFrame:
+def fan_events(t: Tables, since: date | None = None) -> DataFrame:
     verified = F.col("user_id") % 3 == 0
     joined = since_date(t.events, "ts", since, SHIFT_DAYS).join(t.customer, F.col("user_id") == F.col("c_custkey"), "left")
     return with_place(joined, t, "c_nationkey", "left").select(
@@ -121,7 +120,7 @@ def titles(t: Tables) -> DataFrame:
     return latest(titles_raw(t), ["title_id"], [F.desc("version")]).drop("version")
 
 
-def box_office_core(t: Tables, since: DataFrame | None = None) -> DataFrame:
+def box_office_core(t: Tables, since: date | None = None) -> DataFrame:
     """Box-office records before deduplication, without the theater's attributes."""
     lines = since_date(t.lineitem, "l_shipdate", since)
     net = F.lit(1).cast("decimal(4,2)") - F.col("l_discount").cast("decimal(4,2)")
@@ -147,7 +146,7 @@ def with_theater(records: DataFrame, t: Tables) -> DataFrame:
     )
 
 
-def box_office(t: Tables, since: DataFrame | None = None) -> DataFrame:
+def box_office(t: Tables, since: date | None = None) -> DataFrame:
     """Box-office records before deduplication."""
     return with_theater(box_office_core(t, since), t)
 
@@ -155,7 +154,7 @@ def box_office(t: Tables, since: DataFrame | None = None) -> DataFrame:
 NEWEST_RECORD = ("ingestion_ts", "record_id", "gross_usd", "tickets_sold")
 
 
-def box_office_dedup(t: Tables, since: DataFrame | None = None, title: Column | None = None) -> DataFrame:
+def box_office_dedup(t: Tables, since: date | None = None, title: Column | None = None) -> DataFrame:
     """Latest record per title, date and theater, from a date on or of one title if asked: both are key columns.
 
     The theater is part of the key, so its attributes are joined afterwards and the shuffle carries numbers only.

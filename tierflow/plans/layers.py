@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import date
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -67,7 +69,7 @@ def daily_performance(theatrical: DataFrame, fans: DataFrame) -> DataFrame:
     return joined.select(*DAILY_KEYS, *[F.coalesce(F.col(m), F.lit(0)).alias(m) for m in MEASURES])
 
 
-def fact_daily(t: Tables, since: DataFrame | None = None, title: Column | None = None) -> DataFrame:
+def fact_daily(t: Tables, since: date | None = None, title: Column | None = None) -> DataFrame:
     """The daily fact. Date and title are keys of every step, so limiting them limits the scans, not the finished fact."""
     events = domain.fan_events(t, since)
     events = events if title is None else events.where(F.col("title_id") == title)
