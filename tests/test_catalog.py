@@ -10,8 +10,10 @@ import __spark_entry__ as entry
 from conftest import SMALL
 from tools.check import compare, connect
 
-SQL = entry.oracle_sql()
-NAMES = sorted(entry.queries())
+from tierflow import catalog
+
+SQL = catalog.SQL
+NAMES = sorted(catalog.QUERIES)
 
 
 @pytest.fixture(scope="module")
@@ -20,7 +22,8 @@ def duck():
 
 
 def test_names():
-    assert set(SQL) <= set(NAMES)
+    assert set(SQL) <= set(NAMES) <= set(entry.queries())
+    assert set(entry.oracle_sql()) <= set(entry.queries())
     assert not [n for n in NAMES if re.match(r"op\d+_", n) or n == "pipeline"]
 
 
