@@ -2,14 +2,31 @@
 
 from __future__ import annotations
 
+import os
+from pathlib import Path
+
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import tierflow
 from tierflow.session import work_path
 
 
+def let_workers_import(spark: SparkSession) -> None:
+    """Puts this library on the path of Python workers started from now on, for drivers that only extended sys.path.
+
+    Executors on other machines need the library installed or sent along (``--py-files``), as any Spark job does.
+    """
+    root = str(Path(tierflow.__file__).resolve().parents[1])
+    environment = spark.sparkContext.environment
+    paths = [p for p in environment.get("PYTHONPATH", "").split(os.pathsep) if p]
+    if root not in paths:
+        environment["PYTHONPATH"] = os.pathsep.join([*paths, root])
+
+
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
+    let_workers_import(spark)
     return spark.read.parquet(f"{folder.rstrip('/')}/{name}.parquet")
 
 
@@ -21,6 +38,17 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def fresh(df: DataFrame, *names: str) -> list[str]:
+    """Column names that ``df`` does not use: the given ones, lengthened where taken."""
+    taken, found = {c.lower() for c in df.columns}, []
+    for name in names:
+        while name.lower() in taken:
+            name += "_"
+        taken.add(name.lower())
+        found.append(name)
+    return found
+
+
 def merge_labels(labels: np.ndarray, left: np.ndarray, right: np.ndarray) -> np.ndarray:
     """Joins the classes of linked positions; ``labels[i]`` stays the smallest position of the class of ``i``."""
     while len(left):

@@ -21,6 +21,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tierflow.llm.base import fresh
+
 _LETTER = re.compile(r"[^\W\d_]")
 _WORD = re.compile(r"[^\W\d_]+")
 #: Characters parsed in one go; a longer text is parsed in pieces of this length, which adds at most a phrase a piece.
@@ -207,5 +209,19 @@ def language_column(model: Model, text: Column, docs: DataFrame) -> Column:
 
 def with_language(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
     """``docs`` with lang_pred and score (an older column of such a name is replaced); rows and other columns stay."""
-    named = docs.drop("lang_pred", "score").withColumn("_language", language_column(model, F.col(text_col), docs))
-    return named.select("*", "_language.*").drop("_language")
+    docs = docs.drop("lang_pred", "score")
+    (both,) = fresh(docs, "language")
+    named = docs.withColumn(both, language_column(model, F.col(text_col), docs))
+    return named.select("*", f"{both}.*").drop(both)
+
+
+def accepted(docs: DataFrame, model: Model, text_col: str = "text", lang_col: str = "lang") -> DataFrame:
+    """The rows of ``docs`` that have a language: those called ``und`` go, and missing labels are filled in.
+
+    A model without labels cannot tell languages apart and only rejects texts without a letter.
+    """
+    if not model.langs:
+        return docs.where(F.col(text_col).rlike(r"\p{L}"))
+    (both,) = fresh(docs, "language")
+    named = docs.withColumn(both, language_column(model, F.col(text_col), docs)).where(F.col(f"{both}.lang_pred") != "und")
+    return named.withColumn(lang_col, F.coalesce(lang_col, f"{both}.lang_pred")).drop(both)

@@ -4,11 +4,23 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import corpus_pipeline
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tierflow.llm import langid, packing, simhash, tokencount
+from tierflow.llm import (
+    chat,
+    decontam,
+    embedding_dedup,
+    html_text,
+    langid,
+    license_scan,
+    packing,
+    secret_scan,
+    simhash,
+    tokencount,
+)
 from tierflow.llm.base import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -37,6 +49,17 @@ def op2(spark: SparkSession, folder: str) -> DataFrame:
     return counted.select("doc_id", "n_bytes", "n_tokens", "over_limit")
 
 
+@query("op3_html_main_text")
+def op3(spark: SparkSession, folder: str) -> DataFrame:
+    pages = table(spark, folder, "pages").select("page_id", "url", "html")
+    return html_text.with_main_text(pages).select("page_id", "url", "text", "n_chars")
+
+
+@query("op4_benchmark_decontamination")
+def op4(spark: SparkSession, folder: str) -> DataFrame:
+    return decontam.leaks(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
 def held_out(id_col: str = "doc_id"):
     """Every fifth document by the CRC-32 of its id; a null id is not held out."""
     return F.coalesce(F.crc32(F.col(id_col).cast("string").cast("binary")) % 5 == 0, F.lit(False))
@@ -50,6 +73,26 @@ def op5(spark: SparkSession, folder: str) -> DataFrame:
     return named.select("doc_id", held_out().alias("held_out"), "lang_pred", "score")
 
 
+@query("op6_secret_scan")
+def op6(spark: SparkSession, folder: str) -> DataFrame:
+    return secret_scan.report(table(spark, folder, "documents"))
+
+
+@query("op7_license_scan")
+def op7(spark: SparkSession, folder: str) -> DataFrame:
+    return license_scan.report(table(spark, folder, "documents"))
+
+
+@query("op8_embedding_near_dedup")
+def op8(spark: SparkSession, folder: str) -> DataFrame:
+    return embedding_dedup.near_duplicates(table(spark, folder, "embeddings"))
+
+
+@query("op9_chat_formatting")
+def op9(spark: SparkSession, folder: str) -> DataFrame:
+    return chat.format_conversations(table(spark, folder, "conversations"))
+
+
 @query("op10_power_of_two_packing")
 def op10(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "text")
@@ -57,3 +100,8 @@ def op10(spark: SparkSession, folder: str) -> DataFrame:
     return cut.select(
         "doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset", "bucket"
     )
+
+
+@query("pipeline", corpus_pipeline.ORACLE_SQL)
+def pipeline(spark: SparkSession, folder: str) -> DataFrame:
+    return corpus_pipeline.run(spark, folder)

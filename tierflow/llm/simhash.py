@@ -21,7 +21,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tierflow.llm.base import components, merge_labels, stored
+from tierflow.llm.base import components, fresh, merge_labels, stored
 
 #: Median distance of a vantage point to a random 32-bit half.
 MU = 16
@@ -154,23 +154,49 @@ def _cell(i: Column, j: Column, owner: bool) -> Column:
     return F.struct(i.cast("int").alias("i"), j.cast("int").alias("j"), F.lit(owner).alias("owner"))
 
 
+def _classified(docs: DataFrame, id_col: str, text_col: str, max_bits: int) -> DataFrame:
+    """Rows (id, text_key, fp, root, component_id): root is the smallest fingerprint of the class."""
+    text_key = F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))).alias("text_key")
+    raw = docs.select(F.col(id_col).alias("id"), text_key, fingerprint_column(F.col(text_col)).alias("fp"))
+    known = stored(raw, "simhash-prints")
+    classes = stored(known.groupBy("fp").agg(F.min("id").alias("least")), "simhash-classes")
+    roots = components(near_edges(classes, max_bits))
+    joined = classes.join(roots, classes["fp"] == roots["node"], "left").select(
+        F.col("fp").alias("known"), "least", F.coalesce("root", "fp").alias("root")
+    )
+    smallest = joined.groupBy("root").agg(F.min("least").alias("component_id")).withColumnRenamed("root", "own")
+    mapped = joined.join(smallest, F.col("root") == F.col("own")).select("known", "root", "component_id")
+    return known.join(mapped, F.col("fp") == F.col("known")).drop("known")
+
+
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", max_bits: int = 3) -> DataFrame:
     """One row per document: id, fingerprint (16 hex digits) and component_id, the smallest id reachable by links.
 
     Only the id and text columns are read, so other columns of any name do no harm. Null texts count as empty; empty
-    texts share fingerprint 0 and link like any other. Repeated ids give repeated rows. A null id takes no part in the
-    minimum (a class of null ids alone has a null component_id). An empty table gives no rows.
+    texts share fingerprint 0 and link like any other. Repeated rows and ids give a row each. A null id takes no part in
+    the minimum (a class of null ids alone has a null component_id). An empty table gives no rows.
     """
-    raw = docs.select(F.col(id_col).alias("id"), fingerprint_column(F.col(text_col)).alias("fp"))
-    known = stored(raw, "simhash-prints")
-    classes = stored(known.groupBy("fp").agg(F.min("id").alias("least")), "simhash-classes")
-    edges = near_edges(classes, max_bits)
-    roots = components(edges)
-    joined = classes.join(roots, classes["fp"] == roots["node"], "left").select(
-        "fp", "least", F.coalesce("root", "fp").alias("root")
-    )
-    smallest = joined.groupBy("root").agg(F.min("least").alias("component_id"))
-    mapped = joined.join(smallest, "root").select(F.col("fp").alias("known"), "component_id")
-    return known.join(mapped, known["fp"] == mapped["known"]).select(
-        F.col("id").alias(id_col), hex_fingerprint("fp").alias("fingerprint"), "component_id"
-    )
+    found = _classified(docs, id_col, text_col, max_bits)
+    return found.select(F.col("id").alias(id_col), hex_fingerprint("fp").alias("fingerprint"), "component_id")
+
+
+def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", max_bits: int = 3) -> DataFrame:
+    """``docs`` with one row of each class of near-duplicates: the one of the smallest id (null ids last).
+
+    Rows are told apart by id and text; of rows equal in both, any one is kept. All columns are handed through.
+    """
+    found = stored(_classified(docs, id_col, text_col, max_bits), "simhash-found")
+    rank = F.struct(F.col("id").isNull().alias("last"), "id", "text_key")
+    first = found.groupBy("root").agg(F.min(rank).alias("first"), F.count("*").alias("rows"))
+    first = first.select(F.col("root").alias("own"), "rows", F.col("first.id").alias("id_"), F.col("first.text_key").alias("key_"))
+    several = found.join(first.where("rows > 1"), F.col("root") == F.col("own"))
+    kept = F.col("id").eqNullSafe(F.col("id_")) & (F.col("text_key") == F.col("key_"))
+    id_, key = fresh(docs, "gone_id", "gone_key")
+    gone = several.where(~kept).select("id", "text_key").distinct().toDF(id_, key)
+    same = F.col(id_col).eqNullSafe(F.col(id_)) & (F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))) == F.col(key))
+    left = docs.join(gone, same, "left_anti")
+    repeated = several.where(kept).groupBy("id", "text_key").count().where("count > 1").select("id", "text_key").toDF(id_, key)
+    if repeated.isEmpty():
+        return left
+    once = left.join(repeated, same, "left_semi").dropDuplicates([id_col, text_col])
+    return left.join(repeated, same, "left_anti").unionByName(once)
