@@ -25,7 +25,7 @@ from tierflow.llm.base import fresh
 
 _LETTER = re.compile(r"[^\W\d_]")
 _WORD = re.compile(r"[^\W\d_]+")
-#: Characters parsed in one go; a longer text is parsed in pieces of this length, which adds at most a phrase a piece.
+#: Characters parsed in one go; a longer text is parsed in pieces of this length, which makes at most a phrase more for each.
 PIECE = 1024
 #: Characters worked on together, which bounds the memory of a task.
 _TOGETHER = 1 << 22
@@ -36,7 +36,7 @@ _PREDICTION = "lang_pred string, score double"
 class Model:
     """The parsing tables of all languages in one array.
 
-    ``table[state + symbol]`` is twice the next state, plus one where a phrase ends before the symbol; ``starts`` are
+    ``table[state + symbol]`` is four times the next state, plus the phrases that end with this step; ``starts`` are
     the start states by language, ``sizes`` the lengths of the samples. Symbol 0 stands for letters not in ``symbols``.
     """
 
@@ -87,14 +87,18 @@ def build(samples: dict[str, str], max_symbols: int = 64) -> Model:
     for lang in sorted(plain):
         codes = [symbols.get(c, 0) for c in plain[lang]]
         follow = suffix_automaton(codes)
-        begin = np.full(width, offset * 2 + 1, dtype=np.int32)  # a symbol the sample lacks is a phrase of its own
+        # Without a transition the phrase ends and the next one begins with the symbol; one that the sample lacks is a
+        # phrase of its own.
+        begin = np.full(width, offset * 4 + 2, dtype=np.int32)
         for code, state in follow[0].items():
-            begin[code] = (offset + state * width) * 2 + 1
+            begin[code] = (offset + state * width) * 4 + 1
         table = np.tile(begin, (len(follow), 1))
+        table[0] = offset * 4 + 1
         for state, edges in enumerate(follow):
             for code, then in edges.items():
-                table[state, code] = (offset + then * width) * 2
-        table[:, 0] = offset * 2 + 1
+                table[state, code] = (offset + then * width) * 4
+        table[:, 0] = offset * 4 + 2
+        table[0, 0] = offset * 4 + 1
         tables.append(table.ravel())
         starts.append(offset)
         sizes.append(max(2, len(codes)))
@@ -160,12 +164,13 @@ def phrases(model: Model, lookup: np.ndarray, texts: list[str]) -> tuple[np.ndar
     active = np.searchsorted(-size, -np.arange(size.max() if len(size) else 0), side="left")
     for t, n in enumerate(active):
         value = model.table[state[:, :n] + codes[begin[:n] + t]]
-        count[:, :n] += value & 1
-        state[:, :n] = value >> 1
+        count[:, :n] += value & 3
+        state[:, :n] = value >> 2
+    count += state != model.starts[:, None]
     total = np.zeros((len(model.starts), len(texts)), dtype=np.int64)
     for k in range(len(model.starts)):
         total[k] = np.bincount(doc, weights=count[k], minlength=len(texts)).astype(np.int64)
-    return total + 1, lengths
+    return total, lengths
 
 
 def predict(model: Model, lookup: np.ndarray, texts: list[str | None]) -> tuple[list[str], list[float]]:

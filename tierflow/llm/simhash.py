@@ -110,11 +110,11 @@ def _link(max_bits: int):
         prints, position = np.unique(group.column("fp").to_numpy(), return_inverse=True)
         owner = group.column("owner").to_numpy()
         owners, visitors = position[owner], position[~owner]
-        labels = np.arange(len(prints))
+        labels, bits = np.arange(len(prints)), prints.view(np.uint64)  # bits of signed numbers are not counted as such
         step = max(1, (1 << 21) // max(1, len(visitors)))
         for at in range(0, len(owners), step):
             some = owners[at : at + step]
-            near = np.bitwise_count(prints[some][:, None] ^ prints[visitors][None, :]) <= max_bits
+            near = np.bitwise_count(bits[some][:, None] ^ bits[visitors][None, :]) <= max_bits
             i, j = np.nonzero(near)
             labels = merge_labels(labels, some[i], visitors[j])
         moved = labels != np.arange(len(labels))
