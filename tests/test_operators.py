@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from datetime import date, datetime
+from datetime import date, datetime, timedelta
 
 import pytest
 from pyspark.sql import functions as F
@@ -11,7 +11,7 @@ from conftest import SMALL, rows
 from tierflow.functions import columns as C
 from tierflow.operators import checks, features, governance, history, joining, merging, texts, timeseries
 from tierflow.operators.checks import Expectation
-from tierflow.plans import layers
+from tierflow.plans import domain, layers
 from tierflow.plans.domain import Tables
 from tierflow.plans.semantic import query as ask
 from tierflow.session import work_path
@@ -267,3 +267,57 @@ def test_period_bound_reaches_both_scans(spark):
 
     plan = queries()["sq4_revenue_last_30_days"](spark, SMALL)._jdf.queryExecution().executedPlan().toString()
     assert "GreaterThanOrEqual(l_shipdate" in plan and "GreaterThanOrEqual(ts" in plan
+
+
+@pytest.mark.parametrize("files_per_batch", [1, 1000])
+def test_stream_parts_do_not_depend_on_files(spark, files_per_batch):
+    import random
+
+    from tierflow.operators.sessions import sessionize
+
+    schema = "id bigint, user bigint, at timestamp_ntz, value double"
+    r = random.Random(4)
+    start = datetime(2024, 1, 1)
+    events = [(k, r.randint(0, 4), start + timedelta(minutes=r.randint(0, 60 * 24 * 3)), 1.5) for k in range(400)]
+    r.shuffle(events)
+    folder = work_path(spark, "shuffled")
+    for k in range(8):  # every file spans all times
+        spark.createDataFrame(events[k * 50 : k * 50 + 50], schema).coalesce(1).write.mode("append").parquet(folder)
+    whole = spark.read.parquet(folder)
+
+    def parts(partial):
+        target = work_path(spark, "parts")
+        stream = feeds.file_stream(spark, folder, schema, files_per_batch=files_per_batch)
+        feeds.maintain(stream, partial, target, work_path(spark, "checkpoint")).awaitTermination()
+        return spark.read.parquet(target)
+
+    hours = feeds.merged_windows(parts(lambda b: feeds.window_partials(b, "at", ["user"], "value", "1 hour")), ["user"])
+    want = feeds.window_partials(whole, "at", ["user"], "value", "1 hour")
+    assert rows(hours.select(want.columns).withColumn("total", F.col("total").cast("double"))) == rows(
+        want.withColumn("total", F.col("total").cast("double"))
+    )
+    gap = 2 * 3600
+    sessions = feeds.merged_sessions(parts(lambda b: feeds.session_partials(b, "user", "at", "id", gap)), "user", gap)
+    plain = sessionize(whole, "user", "at", "id", gap).groupBy("user", "session_number").agg(
+        F.min("at").alias("session_start"), F.count("*").alias("events")
+    )
+    assert rows(sessions) == rows(plain.drop("session_number"))
+    assert sessions.agg(F.sum("events")).first()[0] == 400
+    firsts = feeds.merged_firsts(parts(lambda b: feeds.first_partials(b, ["user"], ["at", "id"])), ["user"], ["at", "id"])
+    assert rows(firsts.select("user", "id")) == rows(whole.groupBy("user").agg(F.min(F.struct("at", "id"))["id"].alias("id")))
+
+
+def test_ks_p_value_of_equal_and_close_samples(spark):
+    same = spark.range(500).selectExpr("double(id) as v")
+    assert checks.two_sample_ks(same, same, "v").first().p_value == 1.0
+    close = checks.two_sample_ks(same, same.where("v <> 7"), "v").first()
+    assert close.p_value > 0.9999
+    apart = checks.two_sample_ks(same, same.selectExpr("v + 300 as v"), "v").first()
+    assert apart.p_value < 1e-6
+
+
+def test_fan_activity_reads_no_dimension(spark):
+    t = domain.Tables(spark, SMALL)
+    for frame in (domain.fan_activity(t).select("fan_id"), domain.fan_activity(t)):
+        plan = frame._jdf.queryExecution().executedPlan().toString()
+        assert "customer" not in plan and "Join" not in plan

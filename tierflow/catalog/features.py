@@ -203,4 +203,4 @@ def t4(t):
     "SELECT interaction_id, email FROM fans",
 )
 def v2_cleared(t):
-    return governance.mask(domain.fan_events(t).select("interaction_id", "email"), {"email": "EMAIL"}, "ADMIN")
+    return governance.mask(domain.fan_activity(t).select("interaction_id", "email"), {"email": "EMAIL"}, "ADMIN")

@@ -45,7 +45,7 @@ def st1(t):
 
 @query(
     "st2_has_unread_data",
-    f"SELECT TRUE AS has_unread, count(*) AS unread_rows FROM events WHERE ts >= TIMESTAMP '{MID}'",
+    f"SELECT count(*) > 0 AS has_unread, count(*) AS unread_rows FROM events WHERE ts >= TIMESTAMP '{MID}'",
 )
 def st2(t):
     folder, log = work_path(t.spark, "raw"), work_path(t.spark, "log")
@@ -302,16 +302,43 @@ def st15(t):
     )
 
 
+def maintained(t, partial):
+    """The stored parts of the event stream, each batch reduced by ``partial``."""
+    target = work_path(t.spark, "parts")
+    feeds.maintain(event_stream(t), partial, target, work_path(t.spark, "checkpoint")).awaitTermination()
+    return t.spark.read.parquet(target)
+
+
 @query(
     "st15_tumbling_hours_stream",
-    f"""SELECT date_trunc('hour', ts) AS hour, event_type, count(*) AS events, {r('sum(CAST(value AS DECIMAL(15,2)))', 2)} AS total FROM events
-    WHERE date_trunc('hour', ts) + INTERVAL 1 HOUR <= (SELECT max(ts) FROM events) - INTERVAL 30 MINUTE GROUP BY 1, 2""",
+    f"""SELECT date_trunc('hour', ts) AS hour, event_type, count(*) AS events, {r('sum(CAST(value AS DECIMAL(15,2)))', 2)} AS total FROM events GROUP BY 1, 2""",
 )
 def st15_stream(t):
-    target = work_path(t.spark, "hours")
-    counts = feeds.hourly_counts(event_stream(t), "ts", ["event_type"], "30 minutes")
-    feeds.ingest(counts, target, work_path(t.spark, "checkpoint")).awaitTermination()
-    return t.spark.read.parquet(target).withColumn("total", rounded("total", 2))
+    parts = maintained(t, lambda batch: feeds.window_partials(batch, "ts", ["event_type"], "value", "1 hour"))
+    merged = feeds.merged_windows(parts, ["event_type"]).withColumnRenamed("window_start", "hour")
+    return merged.withColumn("total", rounded("total", 2))
+
+
+@query(
+    "st18_sliding_windows_stream",
+    f"""SELECT to_timestamp(w * 900)::TIMESTAMP AS window_start, event_type, count(*) AS events, {r('sum(CAST(value AS DECIMAL(15,2)))', 2)} AS total
+    FROM (SELECT event_type, value, unnest(generate_series(epoch_us(ts) // 900000000 - 3, epoch_us(ts) // 900000000)) AS w FROM events) GROUP BY 1, 2""",
+)
+def st18_stream(t):
+    parts = maintained(t, lambda batch: feeds.window_partials(batch, "ts", ["event_type"], "value", "1 hour", "15 minutes"))
+    return feeds.merged_windows(parts, ["event_type"]).withColumn("total", rounded("total", 2))
+
+
+@query(
+    "st16_stream_deduplicated",
+    """SELECT event_id, user_id, event_type, CAST(ts AS DATE) AS day FROM events
+    QUALIFY row_number() OVER (PARTITION BY user_id, event_type, CAST(ts AS DATE) ORDER BY ts, event_id) = 1""",
+)
+def st16_stream(t):
+    keys, order = ["user_id", "event_type", "day"], ["ts", "event_id"]
+    dated = lambda batch: batch.select("event_id", "ts", "user_id", "event_type", F.col("ts").cast("date").alias("day"))
+    parts = maintained(t, lambda batch: feeds.first_partials(dated(batch), keys, order))
+    return feeds.merged_firsts(parts, keys, order).select("event_id", *keys)
 
 
 GAP_SQL = """SELECT event_id, user_id, ts, sum(CASE WHEN last IS NULL OR epoch_us(ts) - epoch_us(last) >= 21600000000 THEN 1 ELSE 0 END)
@@ -326,14 +353,11 @@ def st17(t):
 
 @query(
     "st17_session_windows_stream",
-    f"""SELECT user_id, session_start, events FROM (SELECT user_id, n, min(ts) AS session_start, max(ts) AS last_ts, count(*) AS events FROM ({GAP_SQL}) GROUP BY 1, 2)
-    WHERE last_ts + INTERVAL 6 HOUR <= (SELECT max(ts) FROM events) - INTERVAL 30 MINUTE""",
+    f"""SELECT user_id, min(ts) AS session_start, count(*) AS events FROM ({GAP_SQL}) GROUP BY user_id, n""",
 )
 def st17_stream(t):
-    target = work_path(t.spark, "sessions")
-    counts = feeds.session_counts(event_stream(t), "ts", "user_id", "6 hours", "30 minutes")
-    feeds.ingest(counts, target, work_path(t.spark, "checkpoint")).awaitTermination()
-    return t.spark.read.parquet(target)
+    parts = maintained(t, lambda batch: feeds.session_partials(batch, "user_id", "ts", "event_id", 6 * 3600))
+    return feeds.merged_sessions(parts, "user_id", 6 * 3600)
 
 
 @query(
@@ -392,21 +416,39 @@ SNAP_PART = """SELECT fan_id, min(segment) AS segment, count(*) AS n, count(DIST
    (SELECT 1) AS one FROM (SELECT fan_id, first_name AS segment, title_id, event_ts FROM fans WHERE fan_id IS NOT NULL {w}) GROUP BY fan_id"""
 
 
-@query(
-    "sc3_snapshot",
-    f"""WITH a AS ({SNAP_PART.format(w="AND event_ts < TIMESTAMP '1998-01-10'")}), b AS (SELECT * FROM ({SNAP_PART.format(w="AND event_ts < TIMESTAMP '1998-01-20'")}) WHERE segment <> 'BUILDING'),
+SNAP_SPANS = f"""WITH a AS ({SNAP_PART.format(w="AND event_ts < TIMESTAMP '1998-01-10'")}), b AS (SELECT * FROM ({SNAP_PART.format(w="AND event_ts < TIMESTAMP '1998-01-20'")}) WHERE segment <> 'BUILDING'),
     c AS ({SNAP_PART.format(w='')})
     SELECT fan_id, n AS lifetime_interactions, valid_from, valid_to FROM (
       SELECT a.fan_id, a.n, TIMESTAMP '1998-01-10' AS valid_from, CASE WHEN b.fan_id IS NULL OR b.n <> a.n THEN TIMESTAMP '1998-01-20'
          WHEN c.n <> a.n THEN TIMESTAMP '1998-02-01' END AS valid_to FROM a LEFT JOIN b USING (fan_id) JOIN c USING (fan_id)
       UNION ALL SELECT b.fan_id, b.n, TIMESTAMP '1998-01-20', CASE WHEN c.n <> b.n THEN TIMESTAMP '1998-02-01' END
          FROM b JOIN c USING (fan_id) LEFT JOIN a USING (fan_id) WHERE a.fan_id IS NULL OR a.n <> b.n
-      UNION ALL SELECT c.fan_id, c.n, TIMESTAMP '1998-02-01', NULL FROM c LEFT JOIN b USING (fan_id) WHERE b.fan_id IS NULL OR b.n <> c.n)""",
-)
+      UNION ALL SELECT c.fan_id, c.n, TIMESTAMP '1998-02-01', NULL FROM c LEFT JOIN b USING (fan_id) WHERE b.fan_id IS NULL OR b.n <> c.n)"""
+
+
+@query("sc3_snapshot", SNAP_SPANS)
 def sc3(t):
     return fan_snapshots(t).select("fan_id", "lifetime_interactions", "valid_from", "valid_to")
 
 
+@query(
+    "d16_snapshot_valid",
+    f"""WITH spans AS ({SNAP_SPANS})
+    SELECT (SELECT count(*) FROM (SELECT fan_id FROM spans WHERE valid_to IS NULL GROUP BY 1 HAVING count(*) > 1)) AS several_current,
+      (SELECT count(*) FROM spans WHERE valid_to < valid_from) AS reversed, (SELECT count(*) FROM spans) AS versions""",
+)
+def d16_snapshot(t):
+    spans = fan_snapshots(t)
+    per_fan = spans.groupBy("fan_id").agg(
+        F.count_if(F.col("valid_to").isNull()).alias("current"),
+        F.count_if(F.col("valid_to") < F.col("valid_from")).alias("reversed"),
+        F.count("*").alias("versions"),
+    )
+    return per_fan.agg(
+        F.count_if(F.col("current") > 1).alias("several_current"), F.sum("reversed").alias("reversed"), F.sum("versions").alias("versions")
+    )
+
+
 @query(
     "sc4_rows_as_of",
     f"""WITH {VERSIONS_SQL} SELECT o_custkey, o_orderstatus, o_orderpriority, valid_from FROM versions

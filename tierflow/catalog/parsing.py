@@ -128,7 +128,7 @@ def p7(t):
 
 @query("p8_hash_identity", "SELECT interaction_id, sha256(email) AS email_hash FROM fans")
 def p8(t):
-    return domain.fan_events(t).select("interaction_id", C.sha256("email").alias("email_hash"))
+    return domain.fan_activity(t).select("interaction_id", C.sha256("email").alias("email_hash"))
 
 
 @query(

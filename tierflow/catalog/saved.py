@@ -419,7 +419,7 @@ def gq5(t):
     GROUP BY title_name ORDER BY shared_viewers DESC, title_name LIMIT 5""",
 )
 def gq6(t):
-    watched = domain.fan_events(t).where((F.col("event_type") == "STREAM") & F.col("fan_id").isNotNull())
+    watched = domain.fan_activity(t).where((F.col("event_type") == "STREAM") & F.col("fan_id").isNotNull())
     watched = watched.select("fan_id", "title_id")
     viewers = watched.where(F.col("title_id") == TITLE_ID).select("fan_id").distinct()
     shared = watched.where(F.col("title_id") != TITLE_ID).join(viewers, "fan_id", "left_semi")
@@ -438,7 +438,7 @@ def gq7(t):
     films = layers.dim_titles(t).where(F.col("director") == "Director 3").select(
         "title_id", "director", "title_name", "release_year"
     )
-    return domain.fan_events(t).join(films, "title_id").groupBy("director", "title_name", "release_year").agg(
+    return domain.fan_activity(t).join(films, "title_id").groupBy("director", "title_name", "release_year").agg(
         rounded(ratio(F.sum("value"), F.count("*")), 4).alias("avg_fan_sentiment")
     ).orderBy("release_year")
 
@@ -455,7 +455,7 @@ def gq7(t):
     FROM buzz JOIN first_week USING (title_id) JOIN dim_titles USING (title_id) GROUP BY genre""",
 )
 def gq9(t):
-    buzz = domain.fan_events(t).where(F.col("event_type") == "CLICK").groupBy("title_id").agg(
+    buzz = domain.fan_activity(t).where(F.col("event_type") == "CLICK").groupBy("title_id").agg(
         ratio(F.sum("value"), F.count("*")).alias("buzz_score")
     )
     first = fact_with_titles(t, "release_date").where(F.col("report_date") <= F.date_add("release_date", 7))
@@ -479,7 +479,7 @@ def gq9(t):
       LEFT JOIN merch ON merch.fan_id = d.fan_id GROUP BY 1""",
 )
 def gq10(t):
-    spent = domain.fan_events(t).where(F.col("fan_id").isNotNull())
+    spent = domain.fan_activity(t).where(F.col("fan_id").isNotNull())
 
     def spend(kind):
         return spent.where(F.col("event_type") == kind).groupBy("fan_id").agg(F.sum("value").alias(f"{kind}_spend"))

@@ -74,19 +74,29 @@ def since_date(df: DataFrame, at: str, since: date | None, shift_days: int = 0)
     return df.where(F.col(at) >= F.lit(since + timedelta(days=shift_days)).cast("timestamp_ntz"))
 
 
+FAN_COLUMNS = [
+    "interaction_id", "account_type", "fan_id", "session_id", "email", "first_name", "last_name", "region", "country_code",
+    "event_type", "event_ts", "title_id", "device_type", "value",
+]
+
+
 def fan_events(t: Tables, since: date | None = None) -> DataFrame:
+    """Fan events with the names and places of their customers."""
+    joined = fan_activity(t, since).join(t.customer, F.col("user_id") == F.col("c_custkey"), "left")
+    named = {f: F.when(F.col("fan_id").isNotNull(), F.col(c)) for f, c in (("first_name", "c_mktsegment"), ("last_name", "c_name"))}
+    return with_place(joined, t, "c_nationkey", "left").withColumns(named).select(*FAN_COLUMNS)
+
+
+def fan_activity(t: Tables, since: date | None = None) -> DataFrame:
+    """Fan events from their own table alone, for questions that ask for no name or place."""
     verified = F.col("user_id") % 3 == 0
-    joined = since_date(t.events, "ts", since, SHIFT_DAYS).join(t.customer, F.col("user_id") == F.col("c_custkey"), "left")
-    return with_place(joined, t, "c_nationkey", "left").select(
+    return since_date(t.events, "ts", since, SHIFT_DAYS).select(
+        "user_id",
         F.col("event_id").alias("interaction_id"),
         F.when(verified, F.lit("VERIFIED")).otherwise(F.lit("GUEST")).alias("account_type"),
         F.when(verified, F.col("user_id")).alias("fan_id"),
         F.concat(F.lit("S-"), F.col("user_id").cast("string")).alias("session_id"),
         F.when(verified, F.concat(F.lit("user"), F.col("user_id").cast("string"), F.lit("@example.com"))).alias("email"),
-        F.when(verified, F.col("c_mktsegment")).alias("first_name"),
-        F.when(verified, F.col("c_name")).alias("last_name"),
-        "region",
-        "country_code",
         F.when(F.col("event_type") == "view", F.lit("STREAM")).otherwise(F.upper("event_type")).alias("event_type"),
         (F.col("ts") - F.expr(f"INTERVAL {SHIFT_DAYS} DAYS")).alias("event_ts"),
         F.get_json_object("props", "$.k").cast("bigint").alias("title_id"),
@@ -120,6 +130,11 @@ def titles(t: Tables) -> DataFrame:
     return latest(titles_raw(t), ["title_id"], [F.desc("version")]).drop("version")
 
 
+def small_titles(t: Tables) -> DataFrame:
+    """The titles as the broadcast side of a join: numbers modulo ``TITLE_COUNT``, one row each, whatever the data."""
+    return F.broadcast(titles(t))
+
+
 def box_office_core(t: Tables, since: date | None = None) -> DataFrame:
     """Box-office records before deduplication, without the theater's attributes."""
     lines = since_date(t.lineitem, "l_shipdate", since)

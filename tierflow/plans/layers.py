@@ -186,4 +186,4 @@ def agg_fan_value(t: Tables) -> DataFrame:
 
 def fan_device_modes(t: Tables) -> DataFrame:
     """Mode over an open value domain (title), counted first."""
-    return mode_of(domain.fan_events(t).where(F.col("fan_id").isNotNull()), ["fan_id"], "title_id", "top_title")
+    return mode_of(domain.fan_activity(t).where(F.col("fan_id").isNotNull()), ["fan_id"], "title_id", "top_title")

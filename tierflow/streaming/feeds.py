@@ -9,9 +9,14 @@ from __future__ import annotations
 from collections.abc import Callable, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from tierflow.operators.merging import add_increment
+from tierflow.operators.picking import top_n
+from tierflow.operators.sessions import sessionize
+
 
 def file_stream(
     spark: SparkSession, folder: str, schema, fmt: str = "parquet", pattern: str | None = None, files_per_batch: int = 1000
@@ -66,19 +71,59 @@ def _each_batch(stream: DataFrame, checkpoint: str, write) -> StreamingQuery:
     return stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
-def hourly_counts(stream: DataFrame, at: str, keys: list[str], late: str) -> DataFrame:
-    """Tumbling one-hour windows that close once ``late`` has passed."""
-    timed = stream.withColumn("_at", F.col(at).cast("timestamp")).withWatermark("_at", late)
-    grouped = timed.groupBy(F.window("_at", "1 hour").alias("w"), *keys)
-    counts = grouped.agg(F.count("*").alias("events"), F.sum(F.col("value").cast("decimal(18,2)")).alias("total"))
-    return counts.select(F.col("w.start").cast("timestamp_ntz").alias("hour"), *keys, "events", "total")
+def maintain(
+    stream: DataFrame, partial: Callable[[DataFrame], DataFrame], target: str, checkpoint: str
+) -> StreamingQuery:
+    """Stores what ``partial`` makes of each batch; readers merge the stored parts.
+
+    Nothing is late: there is no watermark, so rows may arrive in any order and any number of batches, and windows that
+    are still open are part of every reading. A batch that runs again overwrites its own part.
+    """
+    return _each_batch(stream, checkpoint, lambda batch, batch_id: write_batch(partial(batch), batch_id, target))
+
+
+def window_partials(batch: DataFrame, at: str, keys: list[str], value: str, width: str, slide: str | None = None) -> DataFrame:
+    """Counts and sums of the tumbling or sliding windows that a batch has rows in."""
+    window = F.window(F.col(at).cast("timestamp"), width, slide or width).alias("w")
+    grouped = batch.groupBy(window, *keys).agg(F.count("*").alias("events"), F.sum(F.col(value).cast("decimal(18,2)")).alias("total"))
+    return grouped.select(F.col("w.start").cast("timestamp_ntz").alias("window_start"), *keys, "events", "total")
+
+
+def merged_windows(partials: DataFrame, keys: list[str]) -> DataFrame:
+    return add_increment(partials, partials.limit(0), ["window_start", *keys], {"events": "sum", "total": "sum"})
+
+
+def session_partials(batch: DataFrame, key: str, at: str, tie: str, gap_seconds: int) -> DataFrame:
+    """First time, last time and size of the sessions within one batch."""
+    numbered = sessionize(batch.select(key, at, tie), key, at, tie, gap_seconds)
+    parts = numbered.groupBy(key, "session_number").agg(F.min(at).alias("first"), F.max(at).alias("last"), F.count("*").alias("events"))
+    return parts.drop("session_number")
+
+
+def merged_sessions(partials: DataFrame, key: str, gap_seconds: int) -> DataFrame:
+    """Sessions of all batches: parts less than the gap apart belong together, wherever their rows came from.
+
+    A part starts a session when the gap lies between it and the end of all parts before it. A key has at most as many
+    parts as its time span has gaps, times the batches; the window runs over these, not over events.
+    """
+    micros = lambda c: F.unix_micros(F.col(c).cast("timestamp"))
+    order = W.partitionBy(key).orderBy("first", "last", "events")
+    before = F.max("last").over(order.rowsBetween(W.unboundedPreceding, -1))
+    reached = partials.withColumn("_reached", before)
+    starts = F.col("_reached").isNull() | (micros("first") - micros("_reached") >= gap_seconds * 1_000_000)
+    numbered = reached.withColumn("_n", F.sum(starts.cast("long")).over(order.rowsBetween(W.unboundedPreceding, 0)))
+    merged = numbered.groupBy(key, "_n").agg(F.min("first").alias("session_start"), F.sum("events").alias("events"))
+    return merged.drop("_n")
+
+
+def first_partials(batch: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
+    """The first row of each key within a batch."""
+    return top_n(batch, keys, [F.asc(c) for c in order], 1)
 
 
-def session_counts(stream: DataFrame, at: str, key: str, gap: str, late: str) -> DataFrame:
-    """Sessions of one key, closed by a quiet gap."""
-    timed = stream.withColumn("_at", F.col(at).cast("timestamp")).withWatermark("_at", late)
-    sessions = timed.groupBy(F.session_window("_at", gap).alias("w"), key).agg(F.count("*").alias("events"))
-    return sessions.select(key, F.col("w.start").cast("timestamp_ntz").alias("session_start"), "events")
+def merged_firsts(partials: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
+    """Stream deduplication: the first row of each key over all batches."""
+    return first_partials(partials.drop("batch_id"), keys, order)
 
 
 def unread_files(current: DataFrame, processed: DataFrame) -> DataFrame:
