@@ -42,13 +42,14 @@ _SERVED = r"""(?i)(https?|jdbc:[a-z]+|postgres|mysql|redis|amqp)://[^\x20\x09-\x
 # The strong forms.
 STRONG = (
     Kind("assign", _ASSIGNED, 2, 6, _ASSIGNED),
-    Kind("access", r"AKIA[A-Z0-9]+", 0, 20, r"AKIA[A-Z0-9]{16}"),
-    Kind("hex", r"[0-9a-f]+", 0, 24, r"[0-9a-f]{24}"),
+    # A run that begins too short is too short from any later place too: the least length can stand in the pattern.
+    Kind("access", r"AKIA[A-Z0-9]{16,}", 0, 20, r"AKIA[A-Z0-9]{16}"),
+    Kind("hex", r"[0-9a-f]{24,}", 0, 24, r"[0-9a-f]{24}"),
 )
 #: The parts: an identifier, a secret and an endpoint.
 WEAK = (
     Kind("identity", _NAMED, 2, 3, _NAMED),
-    Kind("key", r"[A-Za-z0-9+_-]+", 0, 16, r"[A-Za-z0-9+_-]{16}", ("[0-9]", "[a-z]", "[A-Z]")),
+    Kind("key", r"[A-Za-z0-9+_-]{16,}", 0, 16, r"[A-Za-z0-9+_-]{16}", ("[0-9]", "[a-z]", "[A-Z]")),
     Kind("endpoint", _SERVED, 0, 8, "://"),
 )
 KINDS = (*STRONG, *WEAK)
