@@ -15,6 +15,7 @@ from __future__ import annotations
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -23,14 +24,14 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 from pyspark.sql.types import DataType
 
-#: Words of a block; a window is WINDOW blocks, and begins every STEP blocks.
-BLOCK, WINDOW, STEP = 16, 4, 2
+#: Words of a block; a window is two blocks and begins with each of them.
+BLOCK = 32
 #: Words of a reference passage, and words from one to the next.
 PASSAGE, STRIDE = 64, 32
 #: Reference words worked on in one pass over the corpus; a larger reference takes several passes.
-SLICE_WORDS = 200_000
-#: Words whose projections are held at a time.
-_TOGETHER = 1 << 18
+SLICE_WORDS = 100_000
+#: Blocks whose words are projected at a time.
+_TOGETHER = 64
 
 #: By byte: ASCII letters, digits and bytes of other characters stay, all else is a space.
 _WORDS = bytes(c if c >= 128 or chr(c).isalnum() else 32 for c in range(256))
@@ -55,25 +56,17 @@ class Model:
     """What tasks need to find one slice of the reference.
 
     ``vocabulary`` numbers the reference words; ``basis`` has a row for each, weighted by idf, and a row of zeros for all
-    other words. ``passages`` are the unit projections, ``owner`` the item of each.
+    other words. ``passages`` are the unit projections, ``norms`` their lengths, ``owner`` the item of each. ``flags``
+    marks the words of each item.
     """
 
     items: tuple[Item, ...]
     vocabulary: dict[bytes, int]
     basis: np.ndarray
     passages: np.ndarray
+    norms: np.ndarray
     owner: np.ndarray
-
-
-class _Numbers(dict):
-    """Word numbers, with one number for every other word."""
-
-    def __init__(self, vocabulary: dict[bytes, int]) -> None:
-        super().__init__(vocabulary)
-        self.other = len(vocabulary)
-
-    def __missing__(self, word: bytes) -> int:
-        return self.other
+    flags: np.ndarray
 
 
 def document_frequencies(docs: DataFrame, text_col: str, vocabulary: dict[bytes, int]) -> tuple[np.ndarray, int]:
@@ -151,7 +144,7 @@ def truncated_svd(spark, rows: list[tuple[list[int], list[float]]], width: int,
     return basis @ vectors[:, best]
 
 
-def fit(docs: DataFrame, items: list[Item], text_col: str = "text", rank: int = 64) -> Model:
+def fit(docs: DataFrame, items: list[Item], text_col: str = "text", rank: int = 128) -> Model:
     vocabulary = {w: n for n, w in enumerate(sorted({w for item in items for w in item.words}))}
     held, texts = document_frequencies(docs, text_col, vocabulary)
     idf = np.log((texts + 1) / (held + 1)) + 1e-3
@@ -164,10 +157,12 @@ def fit(docs: DataFrame, items: list[Item], text_col: str = "text", rank: int =
     vectors = truncated_svd(docs.sparkSession, rows, len(vocabulary), min(rank, len(vocabulary), len(rows)))
     basis = np.vstack([vectors * idf[:, None], np.zeros((1, vectors.shape[1]))]).astype(np.float32)
     projected = np.array([basis[[vocabulary[w] for w in words]].sum(axis=0) for _, words in passages], dtype=np.float32)
-    norms = np.linalg.norm(projected, axis=1, keepdims=True)
-    return Model(
-        tuple(items), vocabulary, basis, projected / np.where(norms > 0, norms, 1), np.array([n for n, _ in passages])
-    )
+    norms = np.linalg.norm(projected, axis=1)
+    unit = projected / np.where(norms > 0, norms, 1)[:, None]
+    flags = np.zeros((len(items), len(vocabulary) + 1), dtype=bool)
+    for n, item in enumerate(items):
+        flags[n, [vocabulary[w] for w in item.words]] = True
+    return Model(tuple(items), vocabulary, basis, unit, norms, np.array([n for n, _ in passages]), flags)
 
 
 def common_subsequence(item: tuple[bytes, ...], region: list[bytes]) -> int:
@@ -184,88 +179,92 @@ def common_subsequence(item: tuple[bytes, ...], region: list[bytes]) -> int:
     return len(item) - row.bit_count()
 
 
-def check(item: Item, words: list[bytes], low: int, high: int) -> tuple[float, int, bool]:
+def check(item: Item, flags: np.ndarray, words: list[bytes], numbers: np.ndarray, low: int, high: int, least: float) -> tuple[float, int, bool]:
     """The best share of the item in a stretch of 1.25 times its length between ``low`` and ``high``, where that
-    begins, and whether the answer stands there word for word."""
+    begins, and whether the answer stands there word for word.
+
+    ``flags`` marks the item's words. A stretch that holds too few of them for ``least`` is not compared.
+    """
     size = len(item.words)
     length, step = size + size // 4 + 1, max(1, size // 8)
-    known = set(item.words)
-    within = [w in known for w in words[low:high]]
-    upto = np.concatenate([[0], np.cumsum(within)])
+    upto = np.concatenate([[0], np.cumsum(flags[numbers[low:high]])])
+    begin = np.arange(0, max(1, high - low - length + step), step)
+    held = upto[np.minimum(len(upto) - 1, begin + length)] - upto[begin]
     best, start, answered = 0.0, low, False
-    for at in range(0, max(1, high - low - length + step), step):
-        end = min(len(within), at + length)
-        if upto[end] - upto[at] <= best * size:  # cannot share more words than it holds
-            continue
-        region = words[low + at : low + end]
+    for at in begin[held >= least * size][np.argsort(-held[held >= least * size], kind="stable")].tolist():
+        if best == 1 or upto[min(len(upto) - 1, at + length)] - upto[at] <= best * size:
+            break  # cannot share more words than it holds
+        region = words[low + at : low + at + length]
         share = common_subsequence(item.words, region) / size
         if share > best:
-            n = len(item.answer)
-            best, start = share, low + at
-            answered = any(tuple(region[k : k + n]) == item.answer for k in range(len(region) - n + 1)) if n else False
+            best, start, answered = share, low + at, _stands(item.answer, region)
     return best, start, answered
 
 
+def _stands(answer: tuple[bytes, ...], region: list[bytes]) -> bool:
+    n = len(answer)
+    return n > 0 and any(tuple(region[k : k + n]) == answer for k in range(len(region) - n + 1))
+
+
 def _windows(model: Model, numbers: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Projections of all windows of some texts, the text of each, and the block where it begins."""
     blocks = np.array([-(-len(x) // BLOCK) for x in numbers])
     first = np.cumsum(blocks) - blocks
-    place = np.concatenate([first[n] + np.arange(len(x)) // BLOCK for n, x in enumerate(numbers)])
-    ids = np.concatenate(numbers)
-    held = np.flatnonzero(ids < len(model.vocabulary))
-    summed = np.zeros((int(blocks.sum()) + 1, model.basis.shape[1]), dtype=np.float64)
-    for at in range(0, len(held), _TOGETHER):
-        some = held[at : at + _TOGETHER]
-        here = place[some]
-        starts = np.flatnonzero(np.append(True, here[1:] != here[:-1]))
-        summed[here[starts] + 1] += np.add.reduceat(model.basis[ids[some]], starts, axis=0)
-    summed = np.cumsum(summed, axis=0)
-    per_text = np.maximum(1, -(-(blocks - (WINDOW - STEP)) // STEP))
-    per_text[blocks == 0] = 0
+    padded = np.full(int(blocks.sum()) * BLOCK, len(model.vocabulary), dtype=np.int32)
+    for x, at in zip(numbers, (first * BLOCK).tolist()):
+        padded[at : at + len(x)] = x
+    padded = padded.reshape(-1, BLOCK)
+    summed = np.empty((len(padded), model.basis.shape[1]), dtype=np.float32)
+    for at in range(0, len(padded), _TOGETHER):
+        model.basis[padded[at : at + _TOGETHER]].sum(axis=1, out=summed[at : at + _TOGETHER])
+    per_text = np.where(blocks > 0, np.maximum(1, blocks - 1), 0)
     text = np.repeat(np.arange(len(numbers)), per_text)
-    nth = (np.arange(len(text)) - np.repeat(np.cumsum(per_text) - per_text, per_text)) * STEP
+    nth = np.arange(len(text)) - np.repeat(np.cumsum(per_text) - per_text, per_text)
     low = first[text] + nth
-    high = np.minimum(low + WINDOW, first[text] + blocks[text])
-    return (summed[high] - summed[low]).astype(np.float32), text, nth
+    windows = summed[low]
+    second = blocks[text] > 1
+    windows[second] += summed[low[second] + 1]
+    return windows, text, nth
+
+
+def candidates(model: Model, windows: np.ndarray, cosine: float, part: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(window, passage, cosine) of the windows near a passage that hold at least ``part`` of its weight."""
+    product = windows @ model.passages.T
+    norms = np.linalg.norm(windows, axis=1, keepdims=True)
+    near = (product >= cosine * norms) & (product >= part * model.norms) & (norms > 1e-6)
+    window, passage = np.nonzero(near)
+    return window, passage, product[window, passage] / norms[window, 0]
 
 
-def search(model: Model, texts: list[str | None], cosine: float, share: float, loose: float) -> list[list[tuple]]:
+def search(model: Model, texts: list[str | None], cosine: float, part: float, share: float, loose: float) -> list[list[tuple]]:
     """For each text the items found in it: (item number, cosine, share in common, answered, first word)."""
-    found: list[list[tuple]] = [[] for _ in texts]
-    get = _Numbers(model.vocabulary).__getitem__
+    found: list[dict[int, tuple]] = [{} for _ in texts]
+    get, other = model.vocabulary.get, len(model.vocabulary)
+    least = min(share, loose)
     at = 0
     while at < len(texts):
         split, total, end = [], 0, at
-        while end < len(texts) and total < 1 << 20:
+        while end < len(texts) and total < 1 << 19:
             split.append(words_of(texts[end]))
             total += len(split[-1])
             end += 1
-        numbers = [np.fromiter(map(get, words), dtype=np.int64, count=len(words)) for words in split]
-        if total:
-            windows, text, nth = _windows(model, numbers)
-            norms = np.linalg.norm(windows, axis=1, keepdims=True)
-            windows /= np.where(norms > 1e-6, norms, np.inf)
-            for k in range(0, len(windows), 8192):
-                near = windows[k : k + 8192] @ model.passages.T
-                best: dict[tuple[int, int], list[tuple[int, float]]] = {}
-                for w, p in zip(*np.nonzero(near >= cosine)):
-                    best.setdefault((int(text[k + w]), int(model.owner[p])), []).append((int(nth[k + w]), float(near[w, p])))
-                for (n, i), places in best.items():
-                    item, words = model.items[i], split[n]
-                    for block, value in places:
-                        low = max(0, block * BLOCK - len(item.words))
-                        high = min(len(words), (block + WINDOW) * BLOCK + len(item.words))
-                        common, start, answered = check(item, words, low, high)
-                        if common >= share or (common >= loose and answered):
-                            found[at + n].append((i, value, common, answered, start))
+        numbers = [np.fromiter(map(get, words, repeat(other)), dtype=np.int32, count=len(words)) for words in split]
+        windows, text, nth = _windows(model, numbers)
+        for k in range(0, len(windows), 8192):
+            for w, p, value in zip(*(x.tolist() for x in candidates(model, windows[k : k + 8192], cosine, part))):
+                n, i, block = int(text[k + w]), int(model.owner[p]), int(nth[k + w])
+                if i in found[at + n] and found[at + n][i][2] == 1:
+                    continue
+                item, words = model.items[i], split[n]
+                low = max(0, block * BLOCK - len(item.words))
+                high = min(len(words), (block + 2) * BLOCK + len(item.words))
+                common, start, answered = check(item, model.flags[i], words, numbers[n], low, high, least)
+                if common >= share or (common >= loose and answered):
+                    old = found[at + n].get(i)
+                    if old is None or (common, -start) > (old[2], -old[4]):
+                        found[at + n][i] = (i, value, common, answered, start)
         at = end
-    kept = []
-    for rows in found:
-        first: dict[int, tuple] = {}
-        for row in sorted(rows, key=lambda r: (r[0], -r[2], r[4])):
-            first.setdefault(row[0], row)
-        kept.append(list(first.values()))
-    return kept
+    return [[row for _, row in sorted(rows.items())] for rows in found]
 
 
 def reference(benchmark: DataFrame, id_col: str, text_col: str, answer_col: str | None, closing: int = 5) -> Iterator[list[Item]]:
@@ -291,12 +290,13 @@ def reference(benchmark: DataFrame, id_col: str, text_col: str, answer_col: str
 
 def leaks_column(
     docs: DataFrame, benchmark: DataFrame, text_col: str = "text", item_col: str = "item_id", item_text: str = "text",
-    answer_col: str | None = None, rank: int = 64, cosine: float = 0.45, share: float = 0.8, loose: float = 0.6,
+    answer_col: str | None = None, rank: int = 128, cosine: float = 0.45, part: float = 0.4, share: float = 0.8, loose: float = 0.6,
 ) -> Column:
     """array<struct<item_id, cosine, lcs_share, answered, start_word>> of the benchmark items found in each text.
 
     An item is found where at least ``share`` of its words stand in order within a stretch a quarter longer than itself,
-    or ``loose`` of them if its answer stands there word for word. A null or empty text holds none; an empty benchmark
+    or ``loose`` of them if its answer stands there word for word. Windows are compared with an item where the cosine is
+    at least ``cosine`` and they hold at least ``part`` of the weight of one of its passages. A null or empty text holds none; an empty benchmark
     is found nowhere.
     """
     kind = benchmark.schema[item_col].dataType
@@ -305,18 +305,18 @@ def leaks_column(
     for items in reference(benchmark, item_col, item_text, answer_col):
         shared = docs.sparkSession.sparkContext.broadcast(fit(docs, items, text_col, rank))
 
-        parts.append(_search_udf(shared, kind, result, cosine, share, loose)(F.col(text_col)))
+        parts.append(_search_udf(shared, kind, result, (cosine, part, share, loose))(F.col(text_col)))
     return F.concat(*parts) if parts else F.array().cast(result)
 
 
-def _search_udf(shared, kind: DataType, result: str, cosine: float, share: float, loose: float):
+def _search_udf(shared, kind: DataType, result: str, limits: tuple[float, ...]):
     names = ("item_id", "cosine", "lcs_share", "answered", "start_word")
 
     @F.arrow_udf(result)
     def of(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         model = shared.value
         for texts in batches:
-            found = search(model, texts.to_pylist(), cosine, share, loose)
+            found = search(model, texts.to_pylist(), *limits)
             rows = [[dict(zip(names, (model.items[i].key, *rest))) for i, *rest in row] for row in found]
             yield pa.array(rows, _arrow(kind))
 
