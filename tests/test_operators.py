@@ -321,3 +321,67 @@ def test_fan_activity_reads_no_dimension(spark):
     for frame in (domain.fan_activity(t).select("fan_id"), domain.fan_activity(t)):
         plan = frame._jdf.queryExecution().executedPlan().toString()
         assert "customer" not in plan and "Join" not in plan
+
+
+def test_distance_over_date_line_and_poles(spark):
+    import math
+    import random
+
+    r = random.Random(6)
+
+    def spread(count):
+        found = [(r.uniform(-90, 90), r.uniform(-180, 180)) for _ in range(count)]
+        found += [(r.uniform(-60, 60), r.choice([-1, 1]) * r.uniform(179.9, 180)) for _ in range(count)]
+        found += [(r.choice([-1, 1]) * r.uniform(89.5, 90), r.uniform(-180, 180)) for _ in range(count)]
+        return [*found, (90.0, 0.0), (-90.0, 10.0), (0.0, 180.0), (0.0, -180.0), (45.0, -0.0)]
+
+    sites, points = list(enumerate(spread(60))), list(enumerate(spread(120)))
+
+    def metres(a, b):
+        p1, p2 = math.radians(a[0]), math.radians(b[0])
+        h = math.sin((p2 - p1) / 2) ** 2 + math.cos(p1) * math.cos(p2) * math.sin(math.radians(b[1] - a[1]) / 2) ** 2
+        return 2 * 6371008.8 * math.asin(math.sqrt(min(1, h)))
+
+    frame = lambda rows_, name: spark.createDataFrame([(k, *x) for k, x in rows_], f"{name} int, {name}_lat double, {name}_lon double")
+    for limit in (500.0, 30_000.0, 3_000_000.0):
+        found = joining.within_distance(frame(sites, "site"), frame(points, "point"), limit)
+        assert sorted((x.site, x.point) for x in found.collect()) == sorted(
+            (s, p) for s, a in sites for p, b in points if metres(a, b) <= limit
+        )
+
+
+def test_snapshot_keeps_a_null_key(spark):
+    from tierflow.operators.history import snapshot
+
+    now = lambda d: F.lit(ts(d)).cast("timestamp_ntz")
+    first = spark.createDataFrame([(None, 1), (1, 1), (2, 1)], "k int, v int")
+    second = spark.createDataFrame([(None, 1), (1, 2)], "k int, v int")
+    runs = snapshot(None, first, "k", ["v"], now(1))
+    for day in (2, 3):
+        runs = snapshot(runs, second, "k", ["v"], now(day))
+    assert rows(runs.select("k", "v", F.dayofmonth("valid_from"), F.dayofmonth("valid_to"))) == sorted(
+        [(None, 1, 1, None), (1, 1, 1, 2), (1, 2, 2, None), (2, 1, 1, 2)], key=repr
+    )
+
+
+def test_masks_by_level(spark):
+    df = spark.createDataFrame([("ann@x.org", "123-45-6789"), (None, None)], "email string, ssn string")
+    policy, cleared = {"email": "EMAIL", "ssn": "SSN"}, {"email": ["AUDITOR"], "*": ["ADMIN"]}
+    seen = lambda role: rows(governance.mask_by_level(df, policy, role, cleared, ["ANALYST", "AUDITOR"]))
+    assert ("***@x.org", "XXX-XX-6789") in seen("ANALYST") and ("ann@x.org", "XXX-XX-6789") in seen("AUDITOR")
+    assert ("*****", "*****") in seen("CLERK") and ("*****", "123-45-6789") in seen("ADMIN")
+    assert all((None, None) in seen(role) for role in ("ANALYST", "AUDITOR", "CLERK", "ADMIN"))
+
+
+def test_small_derived_sides_are_broadcast_and_large_ones_not(spark):
+    fact = spark.range(100_000).selectExpr("id", "id % 5 as k")
+    means = fact.groupBy("k").agg(F.avg("id").alias("m"))
+    wide = fact.groupBy("id").agg(F.max("k").alias("m"))
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "64k")
+    try:
+        plan = lambda df: df._jdf.queryExecution().executedPlan().toString()
+        assert "BroadcastHashJoin" in plan(fact.join(joining.of_known_size(means), "k"))
+        assert "BroadcastHashJoin" not in plan(fact.join(joining.of_known_size(wide), "id"))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from tierflow.catalog import query
 from tierflow.catalog.joins import event_features, order_spine
 from tierflow.catalog.sqltext import r
+from tierflow.functions import columns
 from tierflow.functions.columns import money, rounded
 from tierflow.operators import features, governance, ordered, texts, timeseries
 from tierflow.plans import domain
@@ -21,7 +22,10 @@ from tierflow.plans import domain
 )
 def e1(t):
     newest = t.events.agg(F.max("ts").cast("date").alias("d")).scalar()
-    events = t.events.select("user_id", F.col("ts").cast("date").alias("day"), money("value").alias("value"))
+    # The longest look-back as a bound on the raw time, which the scan receives.
+    since = columns.newest(t.events, "ts", lambda m: F.date_sub(m.cast("date"), 29).cast("timestamp_ntz"))
+    recent = t.events.where(F.col("ts") >= since)
+    events = recent.select("user_id", F.col("ts").cast("date").alias("day"), money("value").alias("value"))
     events = events.withColumn("as_of", newest)
     found = features.trailing_windows(events, "user_id", "day", "value", F.col("as_of"), [7, 14, 30])
     return found.withColumns({c: rounded(c, 2) for c in ("sum_7d", "sum_14d", "sum_30d")} | {
@@ -144,6 +148,42 @@ def v3(t):
     return governance.restrict_rows(t.customer, assigned, "Supplier#000000001", "c_nationkey").select("c_custkey", "c_nationkey")
 
 
+@query(
+    "v2_mask_levels",
+    f"""SELECT c_custkey, 'CLERK' AS role, '*****' AS email, '*****' AS ssn, '*****' AS note FROM customer
+    UNION ALL SELECT c_custkey, 'ANALYST', email, ssn, note FROM ({MASK_SQL})
+    UNION ALL SELECT c_custkey, 'AUDITOR', 'user' || c_custkey || '@example.com', ssn, note FROM ({MASK_SQL})""",
+)
+def v2_levels(t):
+    policy = {"email": "EMAIL", "ssn": "SSN", "note": "CARD"}
+    # Auditors are cleared for addresses only; beyond that they see what analysts see.
+    cleared, partial = {"email": ("ADMIN", "AUDITOR"), "*": ("ADMIN",)}, ("ANALYST", "AUDITOR")
+    seen = [
+        governance.mask_by_level(people(t), policy, role, cleared, partial).select("c_custkey", F.lit(role).alias("role"), "email", "ssn", "note")
+        for role in ("CLERK", "ANALYST", "AUDITOR")
+    ]
+    return seen[0].unionByName(seen[1]).unionByName(seen[2])
+
+
+@query(
+    "v3_rows_by_any_attribute",
+    """SELECT 'USER' AS role, c_custkey FROM customer WHERE c_nationkey IN (SELECT s_nationkey FROM supplier WHERE s_name = 'Supplier#000000001')
+      OR c_mktsegment IN ('BUILDING', 'MACHINERY') UNION ALL SELECT 'ADMIN', c_custkey FROM customer""",
+)
+def v3_any(t):
+    user = "Supplier#000000001"
+    nations = t.supplier.select(F.col("s_name").alias("user"), F.col("s_nationkey").alias("c_nationkey"))
+    segments = t.supplier.where(F.col("s_name") == user).select(
+        F.col("s_name").alias("user"), F.explode(F.array(F.lit("BUILDING"), F.lit("MACHINERY"))).alias("c_mktsegment")
+    )
+    assigned = {"c_nationkey": nations, "c_mktsegment": segments}
+    seen = [
+        governance.restrict_rows_by_any(t.customer, assigned, user, role).select(F.lit(role).alias("role"), "c_custkey")
+        for role in ("USER", "ADMIN")
+    ]
+    return seen[0].unionByName(seen[1])
+
+
 @query("v4_mask_by_tag", MASK_SQL)
 def v4(t):
     return governance.mask_tagged(governance.tag(people(t), {"email": "EMAIL", "ssn": "SSN", "note": "CARD"}), "ANALYST")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from tierflow.catalog import query
@@ -86,7 +87,10 @@ def s5(t):
     try:
         loaded("ABORT").first()
         aborted = loaded("ABORT")
-    except Exception:  # the load stops at the first bad row, so nothing arrives
+    except PySparkException as stopped:
+        if "MALFORMED_RECORD" not in str(stopped):
+            raise
+        # The load stops at the first bad row, so nothing arrives.
         aborted = t.spark.range(1).select(F.lit("ABORT").alias("policy"), F.lit(0).cast("bigint").alias("loaded"))
     return loaded("CONTINUE").unionByName(loaded("SKIP_FILE")).unionByName(aborted)
 

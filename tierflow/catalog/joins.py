@@ -21,7 +21,7 @@ def price(c="o_totalprice"):
     FROM box JOIN titles USING (title_id) GROUP BY title_name, franchise""",
 )
 def j1(t):
-    dim = domain.titles(t).select("title_id", "title_name", "franchise")
+    dim = domain.small_titles(t).select("title_id", "title_name", "franchise")
     return domain.box_office(t).join(dim, "title_id").groupBy("title_name", "franchise").agg(
         F.count("*").alias("records"), rounded(F.sum("gross_usd"), 2).alias("gross")
     )
@@ -139,7 +139,7 @@ def j8(t):
         F.mode("event_type", True).alias("primary_event_type"),
         F.nullif(F.count_if(F.col("event_type") == "error"), F.lit(0)).alias("errors"),
     )
-    wide = t.customer.join(domain.places(t), F.col("c_nationkey") == F.col("n_nationkey"), "left")
+    wide = domain.with_place(t.customer, t, "c_nationkey", "left")
     for part in (orders, items, events):
         wide = wide.join(part, "c_custkey", "left")
     return wide.select(

@@ -423,7 +423,7 @@ def gq6(t):
     watched = watched.select("fan_id", "title_id")
     viewers = watched.where(F.col("title_id") == TITLE_ID).select("fan_id").distinct()
     shared = watched.where(F.col("title_id") != TITLE_ID).join(viewers, "fan_id", "left_semi")
-    named = shared.join(layers.dim_titles(t).select("title_id", "title_name"), "title_id")
+    named = shared.join(domain.small_titles(t).select("title_id", "title_name"), "title_id")
     return named.groupBy("title_name").agg(F.countDistinct("fan_id").alias("shared_viewers")).orderBy(
         F.desc("shared_viewers"), "title_name"
     ).limit(5)
@@ -435,7 +435,7 @@ def gq6(t):
     FROM fans JOIN dim_titles USING (title_id) WHERE director = 'Director 3' GROUP BY 1, 2, 3""",
 )
 def gq7(t):
-    films = layers.dim_titles(t).where(F.col("director") == "Director 3").select(
+    films = domain.small_titles(t).where(F.col("director") == "Director 3").select(
         "title_id", "director", "title_name", "release_year"
     )
     return domain.fan_activity(t).join(films, "title_id").groupBy("director", "title_name", "release_year").agg(

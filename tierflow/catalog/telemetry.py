@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from tierflow.catalog import query
 from tierflow.catalog.sqltext import r
 from tierflow.functions.columns import hour_of, money, ratio, rounded
-from tierflow.operators import picking, telemetry
+from tierflow.operators import joining, picking, telemetry
 
 MEAN = "CAST(sum(CAST(value AS DECIMAL(15,2))) AS DOUBLE) / count(*)"
 
@@ -82,7 +82,7 @@ def l3(t):
 def l4(t):
     keys = ["job", "mode"]
     baseline = runs(t).groupBy(*keys).agg(F.avg("value").alias("avg_seconds"), F.stddev_pop("value").alias("stddev_seconds"))
-    found = telemetry.against_baseline(runs(t), baseline, keys, "value")
+    found = telemetry.against_baseline(runs(t), joining.of_known_size(baseline), keys, "value")
     return found.select(
         "event_id", *keys, rounded("delta_seconds", 2).alias("delta_seconds"), rounded("delta_percent", 1).alias("delta_percent"), "status"
     )

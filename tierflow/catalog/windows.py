@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from tierflow.catalog import query
 from tierflow.catalog.sqltext import r
 from tierflow.functions.columns import calendar_date, money, ratio, rounded
-from tierflow.operators import ordered, picking
+from tierflow.operators import joining, ordered, picking
 from tierflow.plans import domain, layers
 
 TOTAL = "CAST(o_totalprice AS DECIMAL(15,2))"
@@ -207,7 +207,7 @@ def w11(t):
 def w12(t):
     # Joining the few group rows back avoids sorting whole groups in one task each.
     means = t.events.groupBy("event_type").agg(ratio(F.sum(money("value")), F.count("*")).alias("mean"))
-    joined = t.events.select("event_id", "event_type", "value").join(means, "event_type")
+    joined = t.events.select("event_id", "event_type", "value").join(joining.of_known_size(means), "event_type")
     return joined.select("event_id", rounded(ratio("value", "mean"), 4).alias("pct_of_mean"))
 
 
@@ -297,9 +297,16 @@ def o6_fixed(t):
     return t.orders.orderBy(picking.hash_order("o_orderkey"), "o_orderkey").limit(100).select("o_orderkey", "o_custkey")
 
 
-@query("o6_seeded_sample")
+@query(
+    "o6_seeded_sample",
+    "SELECT count(*) AS orders, count(*) > 0 AS share_ok, count(*) = count(o_orderkey) AS all_known FROM orders",
+)
 def o6_seeded(t):
-    return t.orders.sample(0.1, seed=42).select("o_orderkey", "o_custkey")
+    # Which rows are drawn is the engine's affair; their number and that each is a row of the table are not.
+    drawn = t.orders.sample(0.1, seed=42).select("o_orderkey", F.lit(1).alias("drawn"))
+    joined = t.orders.select("o_orderkey").join(drawn, "o_orderkey", "full_outer")
+    share = F.abs(F.count("drawn") - 0.1 * F.count("*")) <= 4 * F.sqrt(0.09 * F.count("*"))
+    return joined.agg(F.count("*").alias("orders"), share.alias("share_ok"), (F.count("o_orderkey") == F.count("*")).alias("all_known"))
 
 
 @query(

@@ -7,26 +7,27 @@ from collections.abc import Callable, Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# Fixed formats of the masks.
-EMAIL_USER = ".+@"
-CARD_NUMBER = "[0-9]{4}-[0-9]{4}-[0-9]{4}-[0-9]{4}"
+# Fixed formats of the masks: patterns and replacement texts.
+EMAIL_USER, EMAIL_SHOWN = ".+@", "***@"
+CARD_NUMBER, CARD_SHOWN = "[0-9]{4}-[0-9]{4}-[0-9]{4}-[0-9]{4}", "XXXX-XXXX-XXXX-XXXX"
+SSN_SHOWN, PHONE_SHOWN, NAME_SHOWN, FULL = "XXX-XX-", "***-***-", "***", "*****"
 
 
-def last_four(prefix: str = "XXX-XX-") -> Callable[[Column], Column]:
+def last_four(prefix: str = SSN_SHOWN) -> Callable[[Column], Column]:
     return lambda c: F.concat(F.lit(prefix), F.right(c, F.lit(4)))
 
 
 def hide_email_user(c: Column) -> Column:
-    return F.regexp_replace(c, EMAIL_USER, "***@")
+    return F.regexp_replace(c, EMAIL_USER, EMAIL_SHOWN)
 
 
 def hide_cards(c: Column) -> Column:
-    return F.regexp_replace(c, CARD_NUMBER, "XXXX-XXXX-XXXX-XXXX")
+    return F.regexp_replace(c, CARD_NUMBER, CARD_SHOWN)
 
 
 MASKS: dict[str, Callable[[Column], Column]] = {
-    "EMAIL": hide_email_user, "SSN": last_four(), "PHONE": last_four("***-***-"), "CARD": hide_cards,
-    "NAME": lambda c: F.concat(F.substring(c, 1, 1), F.lit("***")),
+    "EMAIL": hide_email_user, "SSN": last_four(), "PHONE": last_four(PHONE_SHOWN), "CARD": hide_cards,
+    "NAME": lambda c: F.concat(F.substring(c, 1, 1), F.lit(NAME_SHOWN)),
 }
 
 
@@ -37,6 +38,23 @@ def mask(df: DataFrame, policy: Mapping[str, str], role: str, cleared: Sequence[
     return df.withColumns({c: MASKS[kind](F.col(c)) for c, kind in policy.items()})
 
 
+def mask_by_level(
+    df: DataFrame, policy: Mapping[str, str], role: str, cleared: Mapping[str, Sequence[str]], partial: Sequence[str] = ("ANALYST",)
+) -> DataFrame:
+    """Three levels for each column: cleared roles see it, ``partial`` roles see its mask, all others see nothing of it.
+
+    ``cleared`` names the cleared roles of a column; ``"*"`` holds for columns it does not name. Nulls stay null.
+    """
+
+    def shown(column: str, kind: str) -> Column:
+        value = F.col(column)
+        if role in cleared.get(column, cleared.get("*", ())):
+            return value
+        return MASKS[kind](value) if role in partial else F.when(value.isNotNull(), F.lit(FULL))
+
+    return df.withColumns({c: shown(c, kind) for c, kind in policy.items()})
+
+
 def tag(df: DataFrame, tags: Mapping[str, str]) -> DataFrame:
     """Stores a semantic tag in each column's metadata."""
     for column, value in tags.items():
@@ -62,3 +80,21 @@ def restrict_rows(df: DataFrame, assignments: DataFrame, user: str, on: str) ->
     """Rows whose ``on`` value is assigned to the user."""
     mine = assignments.where(F.col("user") == user).select(on).distinct()
     return df.join(mine, on, "left_semi")
+
+
+def restrict_rows_by_any(
+    df: DataFrame, assignments: Mapping[str, DataFrame], user: str, role: str, cleared: Sequence[str] = ("ADMIN",)
+) -> DataFrame:
+    """Rows of which any attribute is assigned to the user; a cleared role sees every row.
+
+    ``assignments`` maps a column of ``df`` to its frame (user, column). Each is reduced to one row per value first, so
+    that a row meets at most one of it.
+    """
+    if role in cleared:
+        return df
+    hit, out = F.lit(False), df
+    for n, (column, frame) in enumerate(assignments.items()):
+        mine = frame.where(F.col("user") == user).select(F.col(column).alias(f"_mine_{n}")).distinct()
+        out = out.join(mine, F.col(column) == F.col(f"_mine_{n}"), "left")
+        hit = hit | F.col(f"_mine_{n}").isNotNull()
+    return out.where(hit).select(*df.columns)

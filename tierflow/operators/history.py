@@ -38,26 +38,25 @@ def versions_from_log(log: DataFrame, key: str, at: str, tie: str, tracked: Sequ
 def snapshot(history: DataFrame | None, current: DataFrame, key: str, check: Sequence[str], at: Column) -> DataFrame:
     """One snapshot run: changed keys get a new version, vanished keys are closed, closed rows stay.
 
-    The comparison is null-safe on the ``check`` columns.
+    Keys and ``check`` columns are compared null-safe: a null key is one key like any other.
     """
     columns = list(current.columns)
     fresh = [*columns, surrogate_key(key, at).alias("scd_id"), at.alias("valid_from"), F.lit(None).cast("timestamp_ntz").alias("valid_to")]
     if history is None:
         return current.select(*fresh)
     full = [*columns, "scd_id", "valid_from", "valid_to"]
-    closed = history.where(F.col("valid_to").isNotNull()).select(*full)
-    opened = history.where(F.col("valid_to").isNull()).select(F.col(key).alias("_k"), F.struct(*full).alias("_o"))
-    incoming = current.select(*fresh).select(F.col(key).alias("_k"), F.struct(*full).alias("_c"))
-    joined = opened.join(incoming, "_k", "full_outer")
+    # Closed rows go through the same join without a partner, so that the history is read once.
+    stored = history.select(F.col(key).alias("_k"), F.col("valid_to").isNull().alias("_open"), F.struct(*full).alias("_o"))
+    incoming = current.select(*fresh).select(F.col(key).alias("_key"), F.struct(*full).alias("_c"))
+    joined = stored.join(incoming, F.col("_open") & F.col("_k").eqNullSafe(F.col("_key")), "full_outer")
     same = F.lit(True)
     for c in check:
         same = same & F.col(f"_o.{c}").eqNullSafe(F.col(f"_c.{c}"))
     kept = F.col("_o").isNotNull() & F.col("_c").isNotNull() & same
     ended = F.col("_o").withField("valid_to", at)
-    old_row = F.when(F.col("_o").isNotNull(), F.when(kept, F.col("_o")).otherwise(ended))
+    old_row = F.when(F.col("_o").isNotNull(), F.when(kept | ~F.col("_open"), F.col("_o")).otherwise(ended))
     new_row = F.when(F.col("_c").isNotNull() & ~kept, F.col("_c"))
-    rows = joined.select(F.explode(F.array_compact(F.array(old_row, new_row))).alias("r")).select("r.*")
-    return closed.unionByName(rows)
+    return joined.select(F.explode(F.array_compact(F.array(old_row, new_row))).alias("r")).select("r.*")
 
 
 def current_rows(history: DataFrame) -> DataFrame:

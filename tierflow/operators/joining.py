@@ -5,6 +5,7 @@ No broadcast hints on tables: Spark broadcasts a side when its size allows and A
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -12,10 +13,22 @@ from pyspark.sql import functions as F
 
 from tierflow.functions.columns import haversine_m
 from tierflow.operators.ordered import last_known
+from tierflow.session import work_path
 
 METRES_PER_DEGREE = 111_195.0
 
 
+def of_known_size(df: DataFrame) -> DataFrame:
+    """A derived frame written once to the shared folder and read back.
+
+    Spark knows the size of files, not that of an aggregate: it broadcasts a small one without first shuffling the large
+    side of the join, and shuffles for one that turns out large.
+    """
+    path = work_path(df.sparkSession, "derived")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def orphans(fact: DataFrame, dim: DataFrame, fact_key: str, dim_key: str) -> DataFrame:
     """Fact rows whose key is absent from the dimension; a null key is an orphan too."""
     return fact.join(dim, F.col(fact_key) == F.col(dim_key), "left_anti")
@@ -96,22 +109,39 @@ def near_in_time(
 
 
 def within_distance(sites: DataFrame, points: DataFrame, metres: float) -> DataFrame:
-    """Pairs of ``site_lat/site_lon`` and ``point_lat/point_lon`` at most ``metres`` apart.
+    """Pairs of ``site_lat/site_lon`` and ``point_lat/point_lon`` at most ``metres`` apart, in degrees.
 
-    Points fall into one grid cell; each site is repeated in the cells its bounding box touches, so only
-    near rows meet. Boxes that cross a pole or the date line are not wrapped.
+    The globe is cut into bands of latitude as high as the distance, and each band into as many cells as its shorter edge
+    has room for, so that cells are no narrower than the distance anywhere and the circle of longitudes is closed. A
+    point lies in one cell; a site is repeated in the cells its reach touches, which are few near a pole too.
     """
-    step = metres / METRES_PER_DEGREE
-    reach = F.lit(step * 1.0001)
-    lon_reach = reach / F.greatest(F.cos(F.radians(F.abs(F.col("site_lat")) + reach)), F.lit(1e-6))
-
-    def cell(c: Column) -> Column:
-        return F.floor(c / F.lit(step))
-
-    spread = sites.withColumn(
-        "_y", F.explode(F.sequence(cell(F.col("site_lat") - reach), cell(F.col("site_lat") + reach)))
-    ).withColumn("_x", F.explode(F.sequence(cell(F.col("site_lon") - lon_reach), cell(F.col("site_lon") + lon_reach))))
-    placed = points.withColumn("_y", cell(F.col("point_lat"))).withColumn("_x", cell(F.col("point_lon")))
+    step = metres / METRES_PER_DEGREE * 1.0001
+    bands = math.ceil(90 / step)
+
+    def band(lat: Column) -> Column:
+        return F.least(F.greatest(F.floor(lat / F.lit(step)), F.lit(-bands)), F.lit(bands - 1))
+
+    def cells(y: Column) -> Column:
+        edge = F.least(F.greatest(F.abs(y), F.abs(y + 1)) * F.lit(step), F.lit(90.0))
+        return F.greatest(F.lit(1), F.floor(F.lit(360 / step) * F.cos(F.radians(edge))))
+
+    def turned(lon: Column) -> Column:
+        return lon - F.floor(lon / 360) * 360
+
+    lat, lon, y = F.col("site_lat"), turned(F.col("site_lon")), F.col("_y")
+    # Beyond this latitude the reach holds a pole and with it every longitude.
+    ratio_ = F.lit(math.sin(math.radians(min(step, 90)))) / F.cos(F.radians(lat))
+    open_reach = F.degrees(F.asin(F.least(F.lit(1.0), F.abs(ratio_)))) * 1.0001
+    reach = F.when(F.abs(lat) + step >= 90, F.lit(180.0)).otherwise(open_reach)
+    spread = sites.withColumn("_reach", reach).withColumn("_y", F.explode(F.sequence(band(lat - step), band(lat + step))))
+    width = F.lit(360.0) / cells(y)
+    low, high = F.floor((lon - F.col("_reach")) / width), F.floor((lon + F.col("_reach")) / width)
+    all_around = F.col("_reach") * 2 + width >= 360
+    first, last = F.when(all_around, F.lit(0)).otherwise(low), F.when(all_around, cells(y) - 1).otherwise(high)
+    touched = F.array_distinct(F.transform(F.sequence(first, last), lambda x: F.pmod(x, cells(y))))
+    spread = spread.withColumn("_x", F.explode(touched)).drop("_reach")
+    placed = points.withColumn("_y", band(F.col("point_lat")))
+    placed = placed.withColumn("_x", F.least(F.floor(turned(F.col("point_lon")) / (F.lit(360.0) / cells(y))), cells(y) - 1))
     distance = haversine_m("site_lat", "site_lon", "point_lat", "point_lon")
     pairs = placed.join(spread, ["_y", "_x"]).withColumn("distance_m", distance)
     return pairs.where(F.col("distance_m") <= metres).drop("_y", "_x")

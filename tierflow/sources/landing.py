@@ -12,7 +12,11 @@ TARGET_FILE_BYTES = 192 * 1024 * 1024  # between 100 and 250 MB
 
 
 def land_raw(spark: SparkSession, path: str, source_system: str) -> DataFrame:
-    """JSON lines as schema-on-read rows with lineage. The id is a content hash, so a reload gives the same id."""
+    """JSON lines as schema-on-read rows with lineage.
+
+    The id is a hash of file and content, so a reload gives the same id; equal lines of a file share it. Where such lines
+    are separate facts, the feed must carry a key of its own.
+    """
     rows = spark.read.format("json").option("singleVariantColumn", "raw_data").load(path)
     file = F.col("_metadata.file_name")
     return rows.select(
@@ -94,8 +98,10 @@ def materialize(df: DataFrame, name: str, kind: str, path: str | None = None) ->
 
 
 def file_sizes(df: DataFrame) -> DataFrame:
-    """Distinct files behind a file-based frame with their sizes, found on the executors."""
-    return df.select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_size").alias("bytes")).distinct()
+    """Distinct files behind a file-based frame with their sizes, from the file listing: no row is read."""
+    spark = df.sparkSession
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(df.inputFiles())
+    return files.select(F.col("path").alias("file"), F.col("length").alias("bytes"))
 
 
 def compact(spark: SparkSession, source: str, target: str, file_bytes: int = TARGET_FILE_BYTES) -> int:

@@ -16,6 +16,7 @@ from pyspark.sql.streaming import StreamingQuery
 from tierflow.operators.merging import add_increment
 from tierflow.operators.picking import top_n
 from tierflow.operators.sessions import sessionize
+from tierflow.sources.landing import file_sizes
 
 
 def file_stream(
@@ -128,5 +129,4 @@ def merged_firsts(partials: DataFrame, keys: list[str], order: list[str]) -> Dat
 
 def unread_files(current: DataFrame, processed: DataFrame) -> DataFrame:
     """Files that no load has recorded yet; empty means nothing to do."""
-    files = current.select(F.col("_metadata.file_path").alias("file")).distinct()
-    return files.join(processed, "file", "left_anti")
+    return file_sizes(current).select("file").join(processed, "file", "left_anti")
