@@ -27,6 +27,81 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
 
 
+def _secret_sql() -> str:
+    """The secret scan for DuckDB: marks around matches, summed lengths as offsets, weak parts joined by interval."""
+    mark, other = "chr(57344)", "chr(57345)"
+    kinds = []
+    for n, kind in enumerate(secret_scan.KINDS):
+        pattern = kind.pattern.replace("'", "''")
+        size = f"length(regexp_extract(m, '{pattern}', {kind.group}))" if kind.group else "length(m)"
+        holds = "".join(f" AND regexp_matches(m, '{h}')" for h in kind.holds)
+        kinds.append(
+            f"""SELECT row, {n} AS kind, a AS start, a + length(m) AS "end" FROM (
+      SELECT row, s[i] AS m, coalesce(list_sum(list_transform(s[1:i-1], lambda x: length(x))), 0) AS a
+      FROM (SELECT row, string_split(regexp_replace(t, '{pattern}', {mark} || '\\0' || {mark}, 'g'), {mark}) AS s FROM d), unnest(range(2, len(s), 2)) AS u(i)
+    ) WHERE {size} >= {kind.least}{holds}"""
+        )
+    near, over = f"greatest(c.start - w.\"end\", w.start - c.\"end\") <= {secret_scan.SCOPE}", 'c.start < w."end" AND w.start < c."end"'
+    shown = lambda where: f"""coalesce(string_agg(name || ':' || start || ':' || "end", ',' ORDER BY start, kind){where}, '')"""
+    names = ", ".join(f"'{k.name}'" for k in secret_scan.KINDS)
+    has = lambda kinds: f"EXISTS (SELECT 1 FROM p c WHERE c.row = w.row AND c.kind IN ({kinds}) AND NOT (c.kind = w.kind AND c.start = w.start) AND {near} AND NOT ({over}))"
+    return f"""WITH d AS (SELECT row_number() OVER () AS row, doc_id, replace(coalesce(text, ''), {mark}, {other}) AS t FROM documents),
+    p AS MATERIALIZED ({" UNION ALL ".join(kinds)}),
+    kept AS (SELECT * FROM p WHERE kind < 3
+      UNION ALL SELECT * FROM p w WHERE kind = 3 AND {has("0, 2, 4")}
+      UNION ALL SELECT * FROM p w WHERE kind = 4 AND {has("1, 3")} AND NOT EXISTS (SELECT 1 FROM p c WHERE c.row = w.row AND c.kind IN (0, 1, 2, 3, 5) AND {over})
+      UNION ALL SELECT * FROM p w WHERE kind = 5 AND {has("0, 2, 4")} AND {has("1, 3")}),
+    n AS (SELECT *, ([{names}])[kind + 1] AS name FROM kept)
+    SELECT any_value(doc_id) AS doc_id, count(*) FILTER (WHERE kind = 0) AS n_assign, count(*) FILTER (WHERE kind = 1) AS n_access,
+      count(*) FILTER (WHERE kind = 2) AS n_hex, sha256({shown(" FILTER (WHERE kind < 3)")}) AS base_sha256, {shown("")} AS spans
+    FROM d LEFT JOIN n USING (row) GROUP BY row"""
+
+
+def _license_sql() -> str:
+    """The licence scan for DuckDB, over the same fixed tables."""
+    values = lambda rows: ", ".join("(" + ", ".join(f"'{x}'" if isinstance(x, str) else str(x) for x in r) + ")" for r in rows)
+    index, keys = license_scan._index(), license_scan._keys()
+    count = lambda rows, n: sum(m == n for _, m, _ in rows)
+    sizes = [(n, t.label, count(index, n), count(keys, n)) for n, t in enumerate(license_scan.TEMPLATES)]
+    words = lambda phrase: "[" + ", ".join(f"'{w}'" for w in phrase.split()) + "]"
+    phrases = ", ".join(f"({words(p)}, '{label}')" for p, label in license_scan.PHRASES)
+    common = ", ".join(f"'{w}'" for w in sorted(license_scan.COMMON))
+    upper, lower = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+    return f"""WITH d AS (SELECT row_number() OVER () AS row, doc_id,
+      regexp_extract_all(translate(coalesce(text, ''), '{upper}', '{lower}'), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS w FROM documents),
+    e AS MATERIALIZED (SELECT row, unnest(w) AS word, generate_subscripts(w, 1) - 1 AS pos FROM d),
+    base AS (SELECT row, pos, label FROM e JOIN d USING (row), (VALUES {phrases}) p(phrase, label)
+      WHERE word = phrase[1] AND w[pos + 1:pos + len(phrase)] = phrase),
+    i(word, template, at) AS (VALUES {values(index)}), k(word, template, at) AS (VALUES {values(keys)}),
+    s(template, label, size, keys) AS (VALUES {values(sizes)}),
+    held AS (SELECT DISTINCT row, word FROM e WHERE word IN (SELECT word FROM i UNION SELECT word FROM k UNION SELECT unnest(phrase) FROM (VALUES {phrases}) p(phrase, label)) AND word NOT IN ({common})),
+    chosen AS (SELECT row, word FROM held JOIN (SELECT word, count(*) AS n FROM held GROUP BY 1) USING (word)
+      QUALIFY row_number() OVER (PARTITION BY row ORDER BY n, word) <= 8),
+    tried AS (SELECT row, template, pos - at AS place FROM e JOIN chosen USING (row, word) JOIN i USING (word) JOIN s USING (template)
+      GROUP BY row, template, pos - at, size HAVING count(*) >= least(2, size)),
+    sure AS (SELECT row, template, place FROM tried JOIN k USING (template) JOIN e ON e.row = tried.row AND e.word = k.word AND e.pos - k.at = place JOIN s USING (template)
+      GROUP BY tried.row, template, place, keys HAVING count(*) = keys),
+    cover AS (SELECT row, label, max(n / size) AS cover FROM (SELECT sure.row, template, place, count(*) AS n FROM sure JOIN i USING (template)
+      JOIN e ON e.row = sure.row AND e.word = i.word AND e.pos - i.at = place GROUP BY 1, 2, 3) JOIN s USING (template) GROUP BY 1, 2),
+    b AS (SELECT row, count(*) AS n, min(pos) AS first, max(pos) AS last, list_sort(list(DISTINCT label)) AS labels FROM base GROUP BY 1),
+    c AS (SELECT row, list(label) AS labels, max(cover) AS cover FROM cover GROUP BY 1)
+    SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(b.n, 0) AS n_base, CAST(b.first AS BIGINT) AS first_word, CAST(b.last AS BIGINT) AS last_word,
+      array_to_string(coalesce(b.labels, []), ',') AS base_labels,
+      array_to_string(list_sort(list_distinct(list_concat(coalesce(b.labels, []), coalesce(c.labels, [])))), ',') AS labels,
+      CASE WHEN b.n > 0 THEN CAST(1 AS DOUBLE) ELSE coalesce(CAST(c.cover AS DOUBLE), 0) END AS score
+    FROM d LEFT JOIN b USING (row) LEFT JOIN c USING (row)"""
+
+
+_CHAT_SQL = f"""WITH t AS (SELECT DISTINCT conv_id, turn, coalesce(role, 'unknown') AS role, coalesce(text, '') AS text FROM conversations WHERE conv_id IS NOT NULL),
+    c AS (SELECT conv_id, list(role || chr(1) || text ORDER BY turn NULLS FIRST, role, text) AS turns,
+      list('{chat.OPEN}' || role || chr(10) || replace(text, '<|im_', '{chat.ESCAPED}') || '{chat.CLOSE}' || chr(10) ORDER BY turn NULLS FIRST, role, text) AS shown FROM t GROUP BY 1),
+    whole AS (SELECT turns, min(conv_id) AS conv_id, count(*) AS n_copies FROM c GROUP BY 1),
+    inside AS (SELECT DISTINCT turns[1:n] AS turns FROM whole, unnest(range(1, len(turns))) AS u(n))
+    SELECT conv_id, CAST(part AS INTEGER) AS part, CAST(len(c.turns) AS BIGINT) AS n_turns, n_copies,
+      array_to_string(shown[part * {chat.PART} + 1 : part * {chat.PART} + {chat.PART}], '') AS text
+    FROM whole ANTI JOIN inside USING (turns) JOIN c USING (conv_id), unnest(range(0, (len(c.turns) + {chat.PART} - 1) // {chat.PART})) AS v(part)"""
+
+
 def query(name: str, sql: str | None = None):
     def register(fn: Callable[[SparkSession, str], DataFrame]):
         QUERIES[name] = fn
@@ -73,12 +148,12 @@ def op5(spark: SparkSession, folder: str) -> DataFrame:
     return named.select("doc_id", held_out().alias("held_out"), "lang_pred", "score")
 
 
-@query("op6_secret_scan")
+@query("op6_secret_scan", _secret_sql())
 def op6(spark: SparkSession, folder: str) -> DataFrame:
     return secret_scan.report(table(spark, folder, "documents"))
 
 
-@query("op7_license_scan")
+@query("op7_license_scan", _license_sql())
 def op7(spark: SparkSession, folder: str) -> DataFrame:
     return license_scan.report(table(spark, folder, "documents"))
 
@@ -88,7 +163,7 @@ def op8(spark: SparkSession, folder: str) -> DataFrame:
     return embedding_dedup.near_duplicates(table(spark, folder, "embeddings"))
 
 
-@query("op9_chat_formatting")
+@query("op9_chat_formatting", _CHAT_SQL)
 def op9(spark: SparkSession, folder: str) -> DataFrame:
     return chat.format_conversations(table(spark, folder, "conversations"))
 
