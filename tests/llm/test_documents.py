@@ -388,6 +388,21 @@ def test_packing_of_odd_rows(spark, odd, words_file):
         packing.pieces(odd, words_file, longest=100)
 
 
+def test_words_remembered_are_bounded(words_file, pieces_model, monkeypatch):
+    import sentencepiece
+    from tokenizers import Tokenizer
+
+    monkeypatch.setattr(packing, "_REMEMBERED", 50)
+    monkeypatch.setattr(tokencount, "_REMEMBERED", 50)
+    texts = [prose(k, 400) for k in range(20)] + [prose(99, 200_000)] + [prose(k, 40) for k in range(20)]
+    tokenizer, model = Tokenizer.from_file(words_file), sentencepiece.SentencePieceProcessor(model_file=pieces_model)
+    ids, merger = packing.WordIds(words_file), tokencount.Merger(pieces_model)
+    for some in (texts[:10], texts[10:21], texts[21:], texts[:3]):
+        want = [np.array(tokenizer.encode(t, add_special_tokens=False).ids, dtype="<u4").tobytes() for t in some]
+        assert list(ids.encode(some)) == want
+        assert merger.count(some) == [len(x) for x in model.encode(some)]
+
+
 def test_packing_of_random_words(words_file):
     from tokenizers import Tokenizer
 
