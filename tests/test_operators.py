@@ -385,3 +385,28 @@ def test_small_derived_sides_are_broadcast_and_large_ones_not(spark):
         assert "BroadcastHashJoin" not in plan(fact.join(joining.of_known_size(wide), "id"))
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+
+
+def test_top_n_beyond_the_usual_group_limit(spark):
+    from tierflow.operators import picking
+
+    top = picking.top_n(spark.range(9000).selectExpr("id", "id % 2 as k"), ["k"], [F.asc("id")], 3000)
+    assert "WindowGroupLimit" in top._jdf.queryExecution().executedPlan().toString()
+    assert top.count() == 6000 and top.agg(F.max("id")).first()[0] == 5999
+
+
+def test_upsert_reads_touched_partitions_only(spark):
+    path = work_path(spark, "parts")
+    rows_ = spark.range(100).selectExpr("id", "id % 10 as p", "0 as v")
+    merging.replace_partitions(rows_, path, ["p"])
+    source = spark.createDataFrame([(3, 3, 1), (103, 3, 1), (7, 7, 1)], "id bigint, p bigint, v int")
+    merging.upsert_touched_partitions(spark, path, source, ["id", "p"], ["v"], ["p"])
+    stored = spark.read.parquet(path)
+    assert stored.count() == 101 and stored.where("v = 1").count() == 3
+
+
+def test_resampling_grid_of_many_bins(spark):
+    df = spark.createDataFrame([(datetime(2024, 1, 1), 1.0), (datetime(2024, 1, 3), 2.0)], "at timestamp_ntz, value double")
+    grid = timeseries.resample(df, "at", "value", 10)
+    assert grid.count() == 2 * 8640 + 1 and grid.where("n > 0").count() == 2
+    assert timeseries.resample(df.limit(0), "at", "value", 10).count() == 0

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from tierflow.catalog import query
 from tierflow.catalog.sqltext import r
-from tierflow.functions.columns import hour_of, money, ratio, rounded
+from tierflow.functions.columns import hour_of, money, newest, ratio, rounded
 from tierflow.operators import joining, picking, telemetry
 
 MEAN = "CAST(sum(CAST(value AS DECIMAL(15,2))) AS DOUBLE) / count(*)"
@@ -73,6 +73,19 @@ def l3(t):
     return stats.withColumns({c: rounded(c, 4) for c in ("avg_seconds", "stddev_seconds")})
 
 
+@query(
+    "l3_recent_baseline",
+    f"""WITH x AS (SELECT event_type AS job, user_id, value FROM events WHERE ts >= (SELECT max(ts) - INTERVAL 7 DAY FROM events)),
+    s AS (SELECT job, user_id, count(*) AS sample_size, avg(value) AS avg_seconds, list_sort(list(value)) AS sorted FROM x GROUP BY 1, 2)
+    SELECT job, user_id, sample_size, {r('avg_seconds', 4)} AS avg_seconds, sorted[sample_size // 2 + 1] AS median_seconds FROM s WHERE sample_size >= 5""",
+)
+def l3_recent(t):
+    runs_ = t.events.select(F.col("event_type").alias("job"), "user_id", "value", "ts")
+    since = newest(t.events, "ts", lambda m: m - F.expr("INTERVAL 7 DAYS"))
+    stats = telemetry.run_statistics(runs_, ["job", "user_id"], "value", "ts", since, least=5)
+    return stats.select("job", "user_id", "sample_size", rounded("avg_seconds", 4).alias("avg_seconds"), "median_seconds")
+
+
 @query(
     "l4_against_baseline",
     f"""SELECT event_id, job, mode, {r('value - avg_seconds', 2)} AS delta_seconds, {r('(value - avg_seconds) * 100 / avg_seconds', 1)} AS delta_percent,

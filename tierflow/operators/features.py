@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tierflow.functions.columns import ratio
-from tierflow.operators.joining import asof_join
+from tierflow.operators.joining import asof_join_all
 
 
 def trailing_windows(df: DataFrame, key: str, at: str, value: str, as_of: Column, days: Sequence[int]) -> DataFrame:
@@ -29,12 +29,15 @@ def trailing_windows(df: DataFrame, key: str, at: str, value: str, as_of: Column
 def training_set(
     spine: DataFrame, spine_at: str, spine_id: str, keys: Sequence[str], features: Mapping[str, tuple[DataFrame, str]]
 ) -> DataFrame:
-    """The spine with the newest row of each feature table at its time; feature columns carry the table's name."""
-    out = spine
-    for name, (frame, at) in features.items():
-        named = frame.select(*keys, *[F.col(c).alias(f"{name}_{c}") for c in frame.columns if c not in keys])
-        out = asof_join(out, named, keys, spine_at, f"{name}_{at}", spine_id)
-    return out
+    """The spine with the newest row of each feature table at its time, found in one pass over all of them.
+
+    Feature columns carry the table's name.
+    """
+    named = [
+        (frame.select(*keys, *[F.col(c).alias(f"{name}_{c}") for c in frame.columns if c not in keys]), f"{name}_{at}")
+        for name, (frame, at) in features.items()
+    ]
+    return asof_join_all(spine, named, keys, spine_at, spine_id)
 
 
 def time_parts(at: str) -> dict[str, Column]:

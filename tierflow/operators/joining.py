@@ -70,24 +70,31 @@ def missing_combinations(
 def asof_join(
     spine: DataFrame, features: DataFrame, keys: Sequence[str], spine_at: str, feature_at: str, spine_id: str
 ) -> DataFrame:
-    """Each spine row with the newest feature row at or before its time; no later value is ever seen.
+    """Each spine row with the newest feature row at or before its time; no later value is ever seen."""
+    return asof_join_all(spine, [(features, feature_at)], keys, spine_at, spine_id)
 
-    Both sides are stacked and the last known feature is carried forward, so the work is one ordered pass
-    whatever the number of feature rows per spine row, and hot keys are split.
+
+def asof_join_all(
+    spine: DataFrame, features: Sequence[tuple[DataFrame, str]], keys: Sequence[str], spine_at: str, spine_id: str
+) -> DataFrame:
+    """Each spine row with the newest row of every feature table at or before its time.
+
+    Spine and feature tables are stacked and the last known row of each table is carried forward: one ordered pass
+    whatever the number of tables and of rows in them, and hot keys are split. Of rows of one time the largest counts.
     """
     keys = list(keys)
-    carried = [c for c in features.columns if c not in keys]
-    packed = F.struct(*carried)
+    names = [f"_feature_{n}" for n in range(len(features))]
     kept = [c for c in spine.columns if c not in keys]
-    left = spine.select(
+    stacked = spine.select(
         *keys, F.col(spine_at).alias("_at"), F.lit(1).alias("_side"), F.col(spine_id).alias("_id"), F.struct(*kept).alias("_row")
     )
-    right = features.select(
-        *keys, F.col(feature_at).alias("_at"), F.lit(0).alias("_side"), packed.alias("_tie"), packed.alias("_feature")
-    )
-    stacked = left.unionByName(right, allowMissingColumns=True)
-    known = last_known(stacked, keys, ["_at", "_side", "_id", "_tie"], ["_feature"])
-    return known.where(F.col("_side") == 1).select(*keys, "_row.*", "_feature.*")
+    for name, (frame, at) in zip(names, features):
+        packed = F.struct(*[c for c in frame.columns if c not in keys])
+        rows = frame.select(*keys, F.col(at).alias("_at"), F.lit(0).alias("_side"), packed.alias(f"{name}_tie"), packed.alias(name))
+        stacked = stacked.unionByName(rows, allowMissingColumns=True)
+    order = ["_at", "_side", "_id", *[f"{name}_tie" for name in names]]
+    known = last_known(stacked, keys, order, names)
+    return known.where(F.col("_side") == 1).select(*keys, "_row.*", *[f"{name}.*" for name in names])
 
 
 def near_in_time(

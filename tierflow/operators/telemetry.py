@@ -15,8 +15,15 @@ STALLED_MINUTES, WARNING_MINUTES = 10, 5
 DEFAULT_SPREAD = 0.2
 
 
-def run_statistics(runs: DataFrame, keys: Sequence[str], duration: str) -> DataFrame:
-    """Count, mean, extremes, population deviation, upper median and 95th element per key."""
+def run_statistics(
+    runs: DataFrame, keys: Sequence[str], duration: str, at: str | None = None, since: Column | None = None, least: int = 1
+) -> DataFrame:
+    """Count, mean, extremes, population deviation, upper median and 95th element per key.
+
+    A baseline of recent runs takes those with ``at`` from ``since`` on, and keys with fewer than ``least`` of them have
+    none.
+    """
+    runs = runs if since is None else runs.where(F.col(at) >= since)
     base = runs.groupBy(*keys).agg(
         F.count(duration).alias("sample_size"),
         F.avg(duration).alias("avg_seconds"),
@@ -25,7 +32,7 @@ def run_statistics(runs: DataFrame, keys: Sequence[str], duration: str) -> DataF
         F.stddev_pop(duration).alias("stddev_seconds"),
     )
     places = quantiles(runs, keys, duration, {"median_seconds": ("index", 0.5), "p95_seconds": ("index", 0.95)})
-    return base.join(places, list(keys))
+    return base.where(F.col("sample_size") >= least).join(places, list(keys))
 
 
 def against_baseline(runs: DataFrame, baseline: DataFrame, keys: Sequence[str], duration: str) -> DataFrame:
