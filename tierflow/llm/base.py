@@ -13,11 +13,19 @@ import tierflow
 from tierflow.session import work_path
 
 
-def let_workers_import(spark: SparkSession) -> None:
-    """Puts this library on the path of Python workers started from now on, for drivers that only extended sys.path.
+#: Rows of an Arrow batch. Texts are long: batches of Spark's usual size would fill a task's memory.
+BATCH_ROWS = 2000
 
-    Executors on other machines need the library installed or sent along (``--py-files``), as any Spark job does.
+
+def prepare(spark: SparkSession) -> None:
+    """Settings that operators with Python tasks rely on.
+
+    Arrow batches are kept small, and the library is put on the path of workers started from now on, for drivers that
+    only extended sys.path. Executors on other machines need the library installed or sent along (``--py-files``), as any
+    Spark job does.
     """
+    if int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")) > BATCH_ROWS:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
     root = str(Path(tierflow.__file__).resolve().parents[1])
     environment = spark.sparkContext.environment
     paths = [p for p in environment.get("PYTHONPATH", "").split(os.pathsep) if p]
@@ -26,7 +34,7 @@ def let_workers_import(spark: SparkSession) -> None:
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    let_workers_import(spark)
+    prepare(spark)
     return spark.read.parquet(f"{folder.rstrip('/')}/{name}.parquet")
 
 

@@ -24,6 +24,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 from pyspark.sql.types import DataType
 
+from tierflow.llm.base import prepare
+
 #: Words of a block; a window is two blocks and begins with each of them.
 BLOCK = 32
 #: Words of a reference passage, and words from one to the next.
@@ -244,7 +246,7 @@ def search(model: Model, texts: list[str | None], cosine: float, part: float, sh
     at = 0
     while at < len(texts):
         split, total, end = [], 0, at
-        while end < len(texts) and total < 1 << 19:
+        while end < len(texts) and total < 1 << 18:
             split.append(words_of(texts[end]))
             total += len(split[-1])
             end += 1
@@ -299,6 +301,7 @@ def leaks_column(
     at least ``cosine`` and they hold at least ``part`` of the weight of one of its passages. A null or empty text holds none; an empty benchmark
     is found nowhere.
     """
+    prepare(docs.sparkSession)
     kind = benchmark.schema[item_col].dataType
     result = f"array<struct<item_id:{kind.simpleString()},cosine:double,lcs_share:double,answered:boolean,start_word:long>>"
     parts = []

@@ -12,9 +12,11 @@ import html
 import re
 
 import pyarrow as pa
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tierflow.llm.base import prepare
+
 #: Lines of a window, and the text length at which the sum over it surges on a page that marks no article.
 WINDOW, SURGE = 3, 80
 
@@ -153,11 +155,12 @@ def main_text_column(page: Column) -> Column:
     return of(page)
 
 
-def with_main_text(pages, html_col: str = "html", text_col: str = "text"):
+def with_main_text(pages: DataFrame, html_col: str = "html", text_col: str = "text") -> DataFrame:
     """``pages`` with the main text and its length in code points, n_chars; older columns of these names are replaced.
 
     Every row stays, repeated rows and null ids too. Broken markup (unclosed elements, comments or scripts) is read as
     far as it goes, and pages of any length are read whole.
     """
+    prepare(pages.sparkSession)
     made = pages.withColumn(text_col, main_text_column(F.col(html_col)))
     return made.withColumn("n_chars", F.char_length(text_col).cast("long"))

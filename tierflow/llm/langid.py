@@ -21,14 +21,14 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tierflow.llm.base import fresh
+from tierflow.llm.base import fresh, prepare
 
 _LETTER = re.compile(r"[^\W\d_]")
 _WORD = re.compile(r"[^\W\d_]+")
 #: Characters parsed in one go; a longer text is parsed in pieces of this length, which makes at most a phrase more for each.
 PIECE = 1024
 #: Characters worked on together, which bounds the memory of a task.
-_TOGETHER = 1 << 22
+_TOGETHER = 1 << 21
 _PREDICTION = "lang_pred string, score double"
 
 
@@ -200,6 +200,7 @@ def language_column(model: Model, text: Column, docs: DataFrame) -> Column:
 
     Ties go to the label that sorts first. A model without labels calls everything ``und``.
     """
+    prepare(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     @F.arrow_udf(_PREDICTION)

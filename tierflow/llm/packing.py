@@ -16,9 +16,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tierflow.llm.base import prepare
+
 _PIECES = "piece_start long, piece_length long, piece_ids binary, document_tokens long"
 #: Words whose ids a worker remembers at a time.
-_REMEMBERED = 600_000
+_REMEMBERED = 400_000
 #: Fixed forms: a run of Latin letters and the ASCII punctuation after it. Neither is changed by the words around it.
 _SIMPLE = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([!-&(-/:-@\[-`{-~]*)")
 
@@ -40,8 +42,7 @@ class WordIds:
         self.ends = np.zeros(max(vocabulary.values()) + 1, dtype=bool)
         for token, k in vocabulary.items():
             self.ends[k] = token.endswith("</w>")
-        self.words: dict[str, bytes] = {}
-        self.parts: dict[str, bytes] = {}
+        self.words: dict[str, bytes] = {}  # runs of letters and marks too, which are words as well
 
     def _alone(self, word: str) -> bytes:
         return np.array(self.tokenizer.encode(word, add_special_tokens=False).ids, dtype="<u4").tobytes()
@@ -50,47 +51,40 @@ class WordIds:
         ids = np.array(self.tokenizer.encode(" ".join(parts), add_special_tokens=False).ids, dtype="<u4")
         ends = np.flatnonzero(self.ends[ids]) + 1
         if len(ends) != len(parts):
-            self.parts.update((part, self._alone(part)) for part in parts)
+            self.words.update((part, self._alone(part)) for part in parts)
             return
         data, last = ids.tobytes(), 0
         for part, end in zip(parts, (4 * ends).tolist()):
-            self.parts[part] = data[last:end]
+            self.words[part] = data[last:end]
             last = end
 
     def learn(self, words: set[str]) -> None:
-        if len(self.words) > _REMEMBERED:
-            self.words.clear()
-        if len(self.parts) > _REMEMBERED:
-            self.parts.clear()
         split, new = {}, set()
         for word in words:
             if simple := _SIMPLE.fullmatch(word):
                 split[word] = pair = (simple[1].lower(), simple[2])
-                new.update(part for part in pair if part and part not in self.parts)
+                new.update(part for part in pair if part and part not in self.words)
             else:
                 self.words[word] = self._alone(word)
         ordered = sorted(new)
         for at in range(0, len(ordered), 2000):
             self._learn_parts(ordered[at : at + 2000])
-        parts = self.parts
+        known = self.words
         for word, (letters, marks) in split.items():
-            self.words[word] = parts[letters] + parts[marks] if marks else parts[letters]
+            known[word] = known[letters] + known[marks] if marks else known[letters]
 
     def encode(self, texts: list[str]) -> Iterator[bytes]:
         """The ids of each text as little-endian unsigned 32-bit numbers."""
         at = 0
         while at < len(texts):
             end, chars, split = at, 0, []
-            while end < len(texts) and (end == at or chars < 1 << 22):
+            while end < len(texts) and (end == at or chars < 1 << 20):
                 chars += len(texts[end])
                 split.append([w for w in texts[end].replace("\n", " ").split(" ") if w])
                 end += 1
-            missing = set().union(*split).difference(self.words)
-            if missing:
-                self.learn(missing)
-                missing = set().union(*split).difference(self.words)  # forgotten when the memory was cleared
-                if missing:
-                    self.learn(missing)
+            if len(self.words) > _REMEMBERED:
+                self.words.clear()
+            self.learn(set().union(*split).difference(self.words))
             known = self.words.__getitem__
             for words in split:
                 yield b"".join(map(known, words))
@@ -130,6 +124,7 @@ def pieces(docs: DataFrame, tokenizer: str, end_id: int = 2, longest: int = 4096
     """
     if longest < 1 or longest & (longest - 1):
         raise ValueError("the longest sequence must be a power of two")
+    prepare(docs.sparkSession)
     end = int(end_id).to_bytes(4, "little")
 
     @F.arrow_udf(f"array<struct<{_PIECES.replace(' ', ':').replace(',:', ',')}>>")

@@ -21,7 +21,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tierflow.llm.base import components, fresh, merge_labels, stored
+from tierflow.llm.base import components, fresh, merge_labels, prepare, stored
 
 #: Median distance of a vantage point to a random 32-bit half.
 MU = 16
@@ -156,6 +156,7 @@ def _cell(i: Column, j: Column, owner: bool) -> Column:
 
 def _classified(docs: DataFrame, id_col: str, text_col: str, max_bits: int) -> DataFrame:
     """Rows (id, text_key, fp, root, component_id): root is the smallest fingerprint of the class."""
+    prepare(docs.sparkSession)
     text_key = F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))).alias("text_key")
     raw = docs.select(F.col(id_col).alias("id"), text_key, fingerprint_column(F.col(text_col)).alias("fp"))
     known = stored(raw, "simhash-prints")

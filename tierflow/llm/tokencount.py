@@ -16,9 +16,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tierflow.llm.base import prepare
+
 SPACE = "▁"
 #: Pre-tokens whose counts a worker remembers at a time.
-_REMEMBERED = 1_000_000
+_REMEMBERED = 500_000
 #: Pre-tokens of more symbols are merged one by one with a heap, since rounds would be too many.
 _LONG = 64
 
@@ -149,8 +151,6 @@ class Merger:
         return [w[1:] for w in re.findall(f"{SPACE}+[^{SPACE}]*", prepared)]
 
     def learn(self, words: set[str]) -> None:
-        if len(self.counts) > _REMEMBERED:
-            self.counts.clear()
         short = sorted(w for w in words if len(w) < _LONG)
         for at in range(0, len(short), 1 << 16):
             some = short[at : at + (1 << 16)]
@@ -164,16 +164,13 @@ class Merger:
         at = 0
         while at < len(texts):
             end, chars, split = at, 0, []
-            while end < len(texts) and (end == at or chars < 1 << 22):
+            while end < len(texts) and (end == at or chars < 1 << 20):
                 chars += len(texts[end])
                 split.append(self.pretokens(texts[end]))
                 end += 1
-            missing = set().union(*split).difference(self.counts)
-            if missing:
-                self.learn(missing)
-                missing = set().union(*split).difference(self.counts)  # forgotten when the memory was cleared
-                if missing:
-                    self.learn(missing)
+            if len(self.counts) > _REMEMBERED:
+                self.counts.clear()
+            self.learn(set().union(*split).difference(self.counts))
             known = self.counts.__getitem__
             found.extend(sum(map(known, words)) for words in split)
             at = end
@@ -198,6 +195,8 @@ def with_token_counts(docs: DataFrame, model: str, text_col: str = "text", limit
     tokens. Rows and other columns stay; older columns of the three names are replaced.
     """
 
+    prepare(docs.sparkSession)
+
     @F.arrow_udf("long")
     def tokens(texts: pa.Array) -> pa.Array:
         return pa.array(merger(model).count([t or "" for t in texts.to_pylist()]), pa.int64())
