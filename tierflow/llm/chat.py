@@ -20,10 +20,12 @@ PART = 512
 OPEN, CLOSE, ESCAPED = "<|im_start|>", "<|im_end|>", "<\\|im_"
 
 
-def with_prefix_hashes(turns: DataFrame) -> DataFrame:
-    """``turns(conv, turn, role, text)`` with the place of each turn and two running hashes, also for very long ones."""
+def with_prefix_hashes(turns: DataFrame, hot: bool) -> DataFrame:
+    """``turns(conv, turn, role, text)`` with the place of each turn and two running hashes.
+
+    ``hot`` says that some conversation is too long for the window of one task.
+    """
     order = ["turn", "role", "text"]
-    hot = is_hot(turns, ["conv"])
     placed = row_numbers(turns, ["conv"], order, "place", hot)
     own = lambda seed: F.xxhash64(F.lit(seed), "place", "role", "text").cast("decimal(38,0)")
     return running_totals(placed, ["conv"], order, {"p1": own(1), "p2": own(2)}, hot)
@@ -60,7 +62,7 @@ def format_conversations(
         F.col(id_col).alias("conv"), F.col(turn_col).alias("turn"),
         F.coalesce(role_col, F.lit("unknown")).alias("role"), F.coalesce(text_col, F.lit("")).alias("text"),
     )
-    hashed = stored(with_prefix_hashes(turns.distinct()), "chat-turns")
+    hashed = stored(with_prefix_hashes(turns.distinct(), is_hot(turns, ["conv"])), "chat-turns")
     kept = maximal(hashed).withColumnRenamed("conv", "kept")
     rows = hashed.join(kept, F.col("conv") == F.col("kept"))
     part = F.floor((F.col("place") - 1) / PART).cast("int").alias("part")
