@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tierflow.llm.base import components, merge_labels, stored
+from tierflow.llm.base import components, merge_labels, prepare, stored
 
 #: Rows of a product of blocks.
 _ROWS = 512
@@ -119,17 +119,18 @@ def _compare(threshold: float):
 
 def near_duplicates(
     vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding", threshold: float = 0.95,
-    margin: float = 10.0, sample_rows: int = 20_000, cell_rows: int = 1000, slice_rows: int = 4096,
+    margin: float = 3.0, sample_rows: int = 20_000, cell_rows: int = 250, slice_rows: int = 4096,
 ) -> DataFrame:
     """One row a vector: id, n_links (other vectors linked directly), component_id (smallest id reachable), kept.
 
-    ``sample_rows`` bounds the sample that the centroids are fitted on; ``cell_rows`` is the mean number of classes a cell
+    ``sample_rows`` is the expected size of the sample, taken by hash, that the centroids are fitted on; ``cell_rows`` is the mean number of classes a cell
     is made for. Pairs that share no cell are missed: ``margin`` sets how rarely. Vectors that are null, empty or zero,
     or hold null or non-finite numbers, link with nothing, equal ones neither; vectors of different lengths never link.
     Repeated rows are vectors of their own. A null id takes no part in the minimum; alone, it has a null component_id
     and is kept.
     """
     spark = vectors.sparkSession
+    prepare(spark)
     value = F.col("embedding")
     numbered = vectors.select(
         F.monotonically_increasing_id().alias("row"), F.col(id_col).alias("id"), F.col(vector_col).alias("embedding")
@@ -146,11 +147,11 @@ def near_duplicates(
     )
     classes = stored(merged.withColumn("cid", F.monotonically_increasing_id()), "embedding-classes")
 
-    order = F.xxhash64("h1", F.lit(3))
-    sample = classes.select("embedding", order.alias("o"), "cid").orderBy("o", "cid").limit(sample_rows).select("embedding")
-    lists = sample.toArrow().column("embedding").combine_chunks()
+    # The sample is a share of the hashes, so that no task or driver sorts or gathers more than the sample.
+    count, centroids, spread = classes.count(), {}, 1 << 30
+    share = F.pmod(F.xxhash64("h1", F.lit(3)), F.lit(spread)) < int(spread * min(1.0, sample_rows / max(1, count)))
+    lists = classes.where(share).select("embedding").toArrow().column("embedding").combine_chunks()
     sizes = lists.value_lengths().to_numpy() if len(lists) else np.zeros(0, dtype=np.int64)
-    count, centroids = classes.count(), {}
     for size in np.unique(sizes):
         own = unit_vectors(lists.take(pa.array(np.flatnonzero(sizes == size))), int(size))
         cells = int(np.ceil(count * len(own) / max(1, len(sizes)) / cell_rows))
