@@ -14,7 +14,7 @@ from tierflow.session import work_path
 
 
 #: Rows of an Arrow batch. Texts are long: batches of Spark's usual size would fill a task's memory.
-BATCH_ROWS = 2000
+BATCH_ROWS = 1000
 
 
 def prepare(spark: SparkSession) -> None:
@@ -29,7 +29,8 @@ def prepare(spark: SparkSession) -> None:
     root = str(Path(tierflow.__file__).resolve().parents[1])
     environment = spark.sparkContext.environment
     paths = [p for p in environment.get("PYTHONPATH", "").split(os.pathsep) if p]
-    if root not in paths:
+    inherited = os.environ.get("PYTHONPATH", "").split(os.pathsep)
+    if root not in paths and root not in inherited:
         environment["PYTHONPATH"] = os.pathsep.join([*paths, root])
 
 

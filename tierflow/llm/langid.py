@@ -28,7 +28,7 @@ _WORD = re.compile(r"[^\W\d_]+")
 #: Characters parsed in one go; a longer text is parsed in pieces of this length, which makes at most a phrase more for each.
 PIECE = 1024
 #: Characters worked on together, which bounds the memory of a task.
-_TOGETHER = 1 << 21
+_TOGETHER = 1 << 20
 _PREDICTION = "lang_pred string, score double"
 
 

@@ -20,7 +20,7 @@ from tierflow.llm.base import prepare
 
 _PIECES = "piece_start long, piece_length long, piece_ids binary, document_tokens long"
 #: Words whose ids a worker remembers at a time.
-_REMEMBERED = 400_000
+_REMEMBERED = 800_000
 #: Fixed forms: a run of Latin letters and the ASCII punctuation after it. Neither is changed by the words around it.
 _SIMPLE = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([!-&(-/:-@\[-`{-~]*)")
 
@@ -78,7 +78,7 @@ class WordIds:
         at = 0
         while at < len(texts):
             end, chars, split = at, 0, []
-            while end < len(texts) and (end == at or chars < 1 << 20):
+            while end < len(texts) and (end == at or chars < 1 << 21):
                 chars += len(texts[end])
                 split.append([w for w in texts[end].replace("\n", " ").split(" ") if w])
                 end += 1
@@ -113,6 +113,25 @@ def piece_lengths(total: int, longest: int) -> list[int]:
     return lengths
 
 
+def _cut(encoded: Iterator[bytes], end: bytes, longest: int) -> pa.Array:
+    """The pieces of each document as an Arrow list of structs."""
+    starts, lengths, parts, totals, offsets = [], [], [], [], [0]
+    for ids in encoded:
+        ids += end
+        total, at = len(ids) // 4, 0
+        for length in piece_lengths(total, longest):
+            starts.append(at)
+            lengths.append(length)
+            parts.append(ids[4 * at : 4 * (at + length)])
+            at += length
+            totals.append(total)
+        offsets.append(len(starts))
+    kinds = (pa.int64(), pa.int64(), pa.binary(), pa.int64())
+    fields = [pa.array(x, k) for x, k in zip((starts, lengths, parts, totals), kinds)]
+    names = [x.split()[0] for x in _PIECES.split(", ")]
+    return pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.StructArray.from_arrays(fields, names))
+
+
 def pieces(docs: DataFrame, tokenizer: str, end_id: int = 2, longest: int = 4096, text_col: str = "text") -> DataFrame:
     """One row a piece: the columns of ``docs`` without the text, then start, length, ids, doc_tokens, bucket,
     sequence_id, offset.
@@ -128,22 +147,11 @@ def pieces(docs: DataFrame, tokenizer: str, end_id: int = 2, longest: int = 4096
     end = int(end_id).to_bytes(4, "little")
 
     @F.arrow_udf(f"array<struct<{_PIECES.replace(' ', ':').replace(',:', ',')}>>")
-    def cut(texts: pa.Array) -> pa.Array:
-        starts, lengths, parts, totals, offsets = [], [], [], [], [0]
-        for ids in word_ids(tokenizer).encode([t or "" for t in texts.to_pylist()]):
-            ids += end
-            total, at = len(ids) // 4, 0
-            for length in piece_lengths(total, longest):
-                starts.append(at)
-                lengths.append(length)
-                parts.append(ids[4 * at : 4 * (at + length)])
-                at += length
-                totals.append(total)
-            offsets.append(len(starts))
-        kinds = (pa.int64(), pa.int64(), pa.binary(), pa.int64())
-        fields = [pa.array(x, k) for x, k in zip((starts, lengths, parts, totals), kinds)]
-        names = [x.split()[0] for x in _PIECES.split(", ")]
-        return pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.StructArray.from_arrays(fields, names))
+    def cut(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        encoder = word_ids(tokenizer)
+        for texts in batches:
+            yield _cut(encoder.encode([t or "" for t in texts.to_pylist()]), end, longest)
+        encoder.words.clear()  # the worker lives on
 
     made = ("start", "length", "ids", "doc_tokens", "bucket", "sequence_id", "offset")
     kept = [c for c in docs.columns if c not in made and c != text_col]

@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import heapq
 import re
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -198,8 +199,11 @@ def with_token_counts(docs: DataFrame, model: str, text_col: str = "text", limit
     prepare(docs.sparkSession)
 
     @F.arrow_udf("long")
-    def tokens(texts: pa.Array) -> pa.Array:
-        return pa.array(merger(model).count([t or "" for t in texts.to_pylist()]), pa.int64())
+    def tokens(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        counter = merger(model)
+        for texts in batches:
+            yield pa.array(counter.count([t or "" for t in texts.to_pylist()]), pa.int64())
+        counter.counts.clear()  # the worker lives on
 
     text = F.coalesce(F.col(text_col), F.lit(""))
     made = docs.drop("n_bytes", "n_tokens", "over_limit").withColumns(
