@@ -21,6 +21,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tierflow.llm import shingles
 from tierflow.llm.base import components, fresh, merge_labels, prepare, stored
 
 #: Median distance of a vantage point to a random 32-bit half.
@@ -181,12 +182,21 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     return found.select(F.col("id").alias(id_col), hex_fingerprint("fp").alias("fingerprint"), "component_id")
 
 
-def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", max_bits: int = 3) -> DataFrame:
+def one_of_each(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", max_bits: int = 3,
+    words_per_shingle: int = 5, similarity: float | None = None,
+) -> DataFrame:
     """``docs`` with one row of each class of near-duplicates: the one of the smallest id (null ids last).
 
-    Rows are told apart by id and text; of rows equal in both, any one is kept. All columns are handed through.
+    Texts link at ``max_bits`` or fewer differing bits or, where ``similarity`` is given, at that Jaccard similarity of
+    their shingles of ``words_per_shingle`` words (see ``shingles``). Rows are told apart by id and text; of rows equal
+    in both, any one is kept. All columns are handed through.
     """
-    found = stored(_classified(docs, id_col, text_col, max_bits), "simhash-found")
+    if similarity is None:
+        classes = _classified(docs, id_col, text_col, max_bits)
+    else:
+        classes = shingles.classified(docs, id_col, text_col, words_per_shingle, similarity)
+    found = stored(classes, "simhash-found")
     rank = F.struct(F.col("id").isNull().alias("last"), "id", "text_key")
     first = found.groupBy("root").agg(F.min(rank).alias("first"), F.count("*").alias("rows"))
     first = first.select(F.col("root").alias("own"), "rows", F.col("first.id").alias("id_"), F.col("first.text_key").alias("key_"))
