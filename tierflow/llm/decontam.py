@@ -58,15 +58,13 @@ class Model:
     """What tasks need to find one slice of the reference.
 
     ``vocabulary`` numbers the reference words; ``basis`` has a row for each, weighted by idf, and a row of zeros for all
-    other words. ``passages`` are the unit projections, ``norms`` their lengths, ``owner`` the item of each. ``flags``
-    marks the words of each item.
+    other words. ``passages`` are the unit projections, ``owner`` the item of each. ``flags`` marks the words of each item.
     """
 
     items: tuple[Item, ...]
     vocabulary: dict[bytes, int]
     basis: np.ndarray
     passages: np.ndarray
-    norms: np.ndarray
     owner: np.ndarray
     flags: np.ndarray
 
@@ -164,7 +162,7 @@ def fit(docs: DataFrame, items: list[Item], text_col: str = "text", rank: int =
     flags = np.zeros((len(items), len(vocabulary) + 1), dtype=bool)
     for n, item in enumerate(items):
         flags[n, [vocabulary[w] for w in item.words]] = True
-    return Model(tuple(items), vocabulary, basis, unit, norms, np.array([n for n, _ in passages]), flags)
+    return Model(tuple(items), vocabulary, basis, unit, np.array([n for n, _ in passages]), flags)
 
 
 def common_subsequence(item: tuple[bytes, ...], region: list[bytes]) -> int:
@@ -189,6 +187,8 @@ def check(item: Item, flags: np.ndarray, words: list[bytes], numbers: np.ndarray
     """
     size = len(item.words)
     length, step = size + size // 4 + 1, max(1, size // 8)
+    if common_subsequence(item.words, words[low : max(high + step, low + length)]) < least * size:
+        return 0.0, low, False  # no stretch of it shares more
     upto = np.concatenate([[0], np.cumsum(flags[numbers[low:high]])])
     begin = np.arange(0, max(1, high - low - length + step), step)
     held = upto[np.minimum(len(upto) - 1, begin + length)] - upto[begin]
@@ -229,16 +229,38 @@ def _windows(model: Model, numbers: list[np.ndarray]) -> tuple[np.ndarray, np.nd
     return windows, text, nth
 
 
-def candidates(model: Model, windows: np.ndarray, cosine: float, part: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(window, passage, cosine) of the windows near a passage that hold at least ``part`` of its weight."""
+def candidates(model: Model, windows: np.ndarray, cosine: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(window, passage, cosine) of the windows near a passage, however little of its weight they hold."""
     product = windows @ model.passages.T
     norms = np.linalg.norm(windows, axis=1, keepdims=True)
-    near = (product >= cosine * norms) & (product >= part * model.norms) & (norms > 1e-6)
+    near = (product >= cosine * norms) & (norms > 1e-6)
     window, passage = np.nonzero(near)
     return window, passage, product[window, passage] / norms[window, 0]
 
 
-def search(model: Model, texts: list[str | None], cosine: float, part: float, share: float, loose: float) -> list[list[tuple]]:
+def may_hold(model: Model, item: np.ndarray, text: np.ndarray, numbers: np.ndarray, starts: np.ndarray, least: float) -> np.ndarray:
+    """Whether any stretch of the text, as long as ``check`` compares, holds ``least`` of the item's words in any order.
+
+    ``item`` and ``text`` are pairs; a text is ``numbers`` from its place in ``starts`` to the next. All pairs of an item
+    are looked at together. No pair is left out that ``check`` would accept.
+    """
+    held = np.zeros(len(item), dtype=bool)
+    for i in np.unique(item).tolist():
+        at = np.flatnonzero(item == i)
+        size = len(model.items[i].words)
+        length = size + size // 4 + 1
+        low, high = starts[text[at]], starts[text[at] + 1]
+        sizes = high - low
+        first = np.cumsum(sizes) - sizes
+        place = np.arange(int(sizes.sum())) - np.repeat(first, sizes) + np.repeat(low, sizes)
+        upto = np.concatenate([[0], np.cumsum(model.flags[i][numbers[place]])])
+        begin = np.arange(len(place))
+        end = np.minimum(begin + length, np.repeat(first + sizes, sizes))
+        held[at] = np.maximum.reduceat(upto[end] - upto[begin], first) >= least * size
+    return held
+
+
+def search(model: Model, texts: list[str | None], cosine: float, share: float, loose: float) -> list[list[tuple]]:
     """For each text the items found in it: (item number, cosine, share in common, answered, first word)."""
     found: list[dict[int, tuple]] = [{} for _ in texts]
     get, other = model.vocabulary.get, len(model.vocabulary)
@@ -252,9 +274,13 @@ def search(model: Model, texts: list[str | None], cosine: float, part: float, sh
             end += 1
         numbers = [np.fromiter(map(get, words, repeat(other)), dtype=np.int32, count=len(words)) for words in split]
         windows, text, nth = _windows(model, numbers)
+        joined, starts = np.concatenate(numbers), np.cumsum([0, *map(len, numbers)])
         for k in range(0, len(windows), 8192):
-            for w, p, value in zip(*(x.tolist() for x in candidates(model, windows[k : k + 8192], cosine, part))):
-                n, i, block = int(text[k + w]), int(model.owner[p]), int(nth[k + w])
+            window, passage, near = candidates(model, windows[k : k + 8192], cosine)
+            owner, of = model.owner[passage], text[k + window]
+            pairs, which = np.unique(of * len(model.items) + owner, return_inverse=True)
+            held = may_hold(model, pairs % len(model.items), pairs // len(model.items), joined, starts, least)[which]
+            for n, i, block, value in zip(*(x[held].tolist() for x in (of, owner, nth[k + window], near))):
                 if i in found[at + n] and found[at + n][i][2] == 1:
                     continue
                 item, words = model.items[i], split[n]
@@ -292,14 +318,13 @@ def reference(benchmark: DataFrame, id_col: str, text_col: str, answer_col: str
 
 def leaks_column(
     docs: DataFrame, benchmark: DataFrame, text_col: str = "text", item_col: str = "item_id", item_text: str = "text",
-    answer_col: str | None = None, rank: int = 128, cosine: float = 0.45, part: float = 0.4, share: float = 0.8, loose: float = 0.6,
+    answer_col: str | None = None, rank: int = 128, cosine: float = 0.45, share: float = 0.8, loose: float = 0.6,
 ) -> Column:
     """array<struct<item_id, cosine, lcs_share, answered, start_word>> of the benchmark items found in each text.
 
     An item is found where at least ``share`` of its words stand in order within a stretch a quarter longer than itself,
-    or ``loose`` of them if its answer stands there word for word. Windows are compared with an item where the cosine is
-    at least ``cosine`` and they hold at least ``part`` of the weight of one of its passages. A null or empty text holds none; an empty benchmark
-    is found nowhere.
+    or ``loose`` of them if its answer stands there word for word. Windows are compared with an item where the cosine with
+    one of its passages is at least ``cosine``. A null or empty text holds none; an empty benchmark is found nowhere.
     """
     prepare(docs.sparkSession)
     kind = benchmark.schema[item_col].dataType
@@ -308,7 +333,7 @@ def leaks_column(
     for items in reference(benchmark, item_col, item_text, answer_col):
         shared = docs.sparkSession.sparkContext.broadcast(fit(docs, items, text_col, rank))
 
-        parts.append(_search_udf(shared, kind, result, (cosine, part, share, loose))(F.col(text_col)))
+        parts.append(_search_udf(shared, kind, result, (cosine, share, loose))(F.col(text_col)))
     return F.concat(*parts) if parts else F.array().cast(result)
 
 
