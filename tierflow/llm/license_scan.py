@@ -1,10 +1,10 @@
 """Licence scanning with a positional index of rare words, in DataFrame functions only.
 
 Licence notices are short templates. Their informative words are kept in an index with the positions where they stand.
-Of every text only the words of the index (and of the plain phrases) are kept, with their word positions; how many texts
-hold a word gives its inverse document frequency. The words of highest frequency of a text are looked up, postings that
-agree on "position in the text minus position in the template" are counted, and a template that gathers enough of them
-at one place is confirmed there by the words of its key phrase, each at its exact distance.
+Of every text only the words of the index (and of the plain phrases) are kept, with their word positions. All of them are
+looked up, however many notices a text holds; postings that agree on "position in the text minus position in the
+template" are counted, and a template that gathers enough of them at one place is confirmed there by the words of its key
+phrase, each at its exact distance.
 """
 
 from __future__ import annotations
@@ -137,21 +137,12 @@ def phrase_places(words: DataFrame) -> DataFrame:
     return ahead.select("row", "pos", F.explode(labels).alias("label"))
 
 
-def template_places(words: DataFrame, looked_up: int = 8, least: int = 2) -> DataFrame:
+def template_places(words: DataFrame, least: int = 2) -> DataFrame:
     """Rows (row, label, cover): templates whose key phrase is confirmed, with the share of informative words in place.
 
-    ``looked_up`` words of highest inverse document frequency are taken of each text (fewer where it has fewer, ties by
-    the word), and a template is tried at a place where ``least`` of its postings agree.
+    Every known word of a text is looked up, and a template is tried at a place where ``least`` of its postings agree.
     """
-    looked_words = words.where((F.col("word") != _END) & ~F.col("word").isin(*sorted(COMMON)))
-    held = looked_words.select("row", "word").distinct()
-    texts = words.where(F.col("word") == _END).agg(F.count("*").alias("texts"))
-    rarity = held.groupBy("word").agg(F.count("*").alias("held"))  # at most one row for each word of the fixed tables
-    idf = rarity.withColumn("texts", texts.scalar()).select(F.col("word").alias("w"), F.log((F.col("texts") + 1) / (F.col("held") + 1)).alias("idf"))
-    best = Window.partitionBy("row").orderBy(F.desc("idf"), "word")
-    chosen = held.join(F.broadcast(idf), F.col("word") == F.col("w")).withColumn("place", F.row_number().over(best))
-    chosen = chosen.where(F.col("place") <= looked_up).select(F.col("row").alias("r"), F.col("word").alias("c"))
-    looked = looked_words.join(chosen, (F.col("row") == F.col("r")) & (F.col("word") == F.col("c")), "left_semi")
+    looked = words.where((F.col("word") != _END) & ~F.col("word").isin(*sorted(COMMON)))
     postings = looked.join(_rows(words, _index()), F.col("word") == F.col("w"))
     offset = (F.col("pos") - F.col("at")).alias("offset")
     tried = postings.groupBy("row", "template", offset).agg(F.count("*").alias("agree"))
