@@ -115,17 +115,20 @@ def fit(
 ) -> Model:
     """Learns one automaton per label from at most ``sample_docs`` documents and ``sample_chars`` characters a label.
 
-    That sample is the documented bound of the classifier: documents come first by a hash of their id, and each gives an
-    equal share of the characters. Rows without a text or a label teach nothing.
+    That sample is the documented bound of the classifier: documents come first by a hash of their id, then by their
+    text, equal ones count once, and each gives an equal share of the characters. Rows without a text or a label teach
+    nothing.
     """
-    known = docs.where((F.length(text_col) > 0) & F.col(lang_col).isNotNull() & F.col(id_col).isNotNull())
-    order = Window.partitionBy("lang").orderBy(F.xxhash64(F.col("id").cast("string")), "id")
-    ranked = known.select(F.col(lang_col).alias("lang"), F.col(id_col).alias("id")).withColumn("place", F.row_number().over(order))
-    chosen = [row["id"] for row in ranked.where(F.col("place") <= sample_docs).select("id").collect()]
-    cut = F.substring(text_col, 1, sample_chars).alias("text")
-    rows = known.where(F.col(id_col).isin(chosen)).select(F.col(lang_col).alias("lang"), F.col(id_col).alias("id"), cut)
+    filled = docs.where((F.length(text_col) > 0) & F.col(lang_col).isNotNull() & F.col(id_col).isNotNull())
+    cut = F.substring(text_col, 1, sample_chars)
+    known = filled.select(F.col(lang_col).alias("lang"), F.col(id_col).alias("id"), F.xxhash64(cut).alias("key"), cut.alias("text"))
+    order = Window.partitionBy("lang").orderBy(F.xxhash64(F.col("id").cast("string")), "id", "key")
+    ranked = known.select("lang", "id", "key").distinct().withColumn("place", F.row_number().over(order))
+    # at most sample_docs rows a label
+    chosen = F.broadcast(ranked.where(F.col("place") <= sample_docs).drop("place"))
+    rows = known.join(chosen, ["lang", "id", "key"], "left_semi").groupBy("lang", "id", "key").agg(F.first("text").alias("text"))
     texts: dict[str, list[str]] = {}
-    for row in sorted(rows.distinct().collect(), key=lambda r: (r["lang"], r["id"], r["text"])):
+    for row in sorted(rows.collect(), key=lambda r: (r["lang"], r["id"], r["text"])):
         texts.setdefault(row["lang"], []).append(row["text"])
     return build({lang: " ".join(t[: max(1, sample_chars // len(x))] for t in x) for lang, x in texts.items()}, max_symbols)
 
