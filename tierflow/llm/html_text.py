@@ -1,8 +1,8 @@
 """Main text of web pages by line-block distribution.
 
 Markup is stripped to one line for each block element. Lines of menus, headers, footers, forms, adverts and comments
-carry no weight; nor does link text. Where the page marks its article, lines outside it carry none either. The weights
-are summed over a sliding window of lines: the text begins where the sum surges, ends where it dives to nothing, and
+carry no weight; nor does link text. Where the page marks an article, its lines weigh more than others, and it is the text
+if it holds the weightiest stretch of the page; else the marks are not looked at. The weights are summed over a sliding window of lines: the text begins where the sum surges, ends where it dives to nothing, and
 every line between the two is kept, however short. A page without any surge gives its weightiest stretch.
 """
 
@@ -19,6 +19,8 @@ from tierflow.llm.base import prepare
 
 #: Lines of a window, and the text length at which the sum over it surges on a page that marks no article.
 WINDOW, SURGE = 3, 80
+#: How much more a character in a marked article weighs than one outside.
+MARKED = 4
 
 # Element names of HTML by their part in a page, and words in class, id or role of boilerplate.
 BLOCKS = frozenset(
@@ -38,12 +40,16 @@ BOILERPLATE = frozenset(
     "pagination popup promo promotion related replies reply search share sharing sidebar skip social sponsor sponsored "
     "subscribe subscription toolbar widget".split()
 )
+#: Words that say nothing beside those of boilerplate, as in "site-footer".
+NEUTRAL = frozenset("area bar block bottom box container content global inner item items left list main outer page panel right section site top wrap wrapper".split())
 ARTICLE = frozenset(("article", "main"))
+#: Elements of running text: their names are about what they say, not what they are for.
+RUNNING = frozenset("h1 h2 h3 h4 h5 h6 p".split())
 
 _RAW = re.compile(rf"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<({RAW})\b[^>]*>.*?(?:</\1\s*>|\Z)", re.S | re.I)
 _TAG = re.compile(r"""<(/?)([A-Za-z][A-Za-z0-9:-]*)((?:[^>"']|"[^"]*"|'[^']*')*)>|<[!?/][^>]*>""")
-_NAMES = re.compile(r"""\b(?:class|id|role|aria-label)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+))""", re.I)
-_HIDDEN = re.compile(r"""\bhidden\b(?!\s*=\s*["']?false)|display\s*:\s*none|aria-hidden\s*=\s*["']?true""", re.I)
+_ATTRIBUTE = re.compile(r"""([^\s"'>/=]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""")
+_UNSEEN = re.compile(r"display\s*:\s*none", re.I)
 _PARTS = re.compile(r"[a-z]+")
 
 
@@ -52,10 +58,17 @@ def _is_boilerplate(name: str, attributes: str, in_article: bool) -> bool:
         return True
     if not attributes or name in ("body", "html", "article", "main"):
         return False
-    for groups in _NAMES.findall(attributes):
-        if BOILERPLATE.intersection(_PARTS.findall("".join(groups).lower())):
+    for key, *values in _ATTRIBUTE.findall(attributes):
+        key, value = key.lower(), "".join(values).lower()
+        if key == "hidden" and value != "false" or key == "aria-hidden" and value == "true" or key == "style" and _UNSEEN.search(value):
             return True
-    return bool(_HIDDEN.search(attributes))
+        if name in RUNNING or key not in ("class", "id", "role", "aria-label"):
+            continue
+        for whole in value.split() if key in ("class", "role") else [value]:
+            parts = set(_PARTS.findall(whole))
+            if parts & BOILERPLATE and parts <= BOILERPLATE | NEUTRAL:
+                return True
+    return False
 
 
 def lines_of(page: str) -> list[tuple[str, int, bool]]:
@@ -133,11 +146,12 @@ def stretches(weights: list[int], surge: int) -> list[tuple[int, int]]:
 def main_text(page: str | None) -> str:
     """The blocks of the article in page order, one a line; empty if there is none."""
     lines = lines_of(page or "")
-    marked = any(inside for *_, inside in lines)
-    weights = [weight if inside or not marked else 0 for _, weight, inside in lines]
-    if marked:
-        # Within a marked article a line that is all link is still text of the article.
-        weights = [len(text) if inside else 0 for text, _, inside in lines]
+    # Within a marked article a line that is all link is still text of the article.
+    own = [MARKED * len(text) if inside else 0 for text, _, inside in lines]
+    others = [0 if inside else weight for _, weight, inside in lines]
+    heaviest = lambda weights: max((sum(weights[a:b]) for a, b in stretches(weights, 1)), default=0)
+    marked = any(own) and heaviest(own) >= heaviest(others)
+    weights = own if marked else [weight for _, weight, _ in lines]
     kept = stretches(weights, 1 if marked else SURGE)
     if not kept:
         every = stretches(weights, 1)
