@@ -47,6 +47,31 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+#: Rows of a slice of ``sliced``, and copies of a row that ``repeated`` writes in one task.
+SLICE_ROWS, COPIES = 1 << 18, 1 << 12
+
+
+def sliced(df: DataFrame, *order: str, rows: int = SLICE_ROWS) -> DataFrame:
+    """``df`` in even slices by ascending order, numbered in ``slice``: all of a slice comes before all of the next.
+
+    Slices are stored, so that their borders, which Spark draws from a sample, stay the same for all later steps. Rows equal
+    in ``order`` share a slice; make it unique where a group of equal rows may be large.
+    """
+    known = stored(df, "unsliced")
+    count = max(1, -(-known.count() // rows))
+    return stored(known.repartitionByRange(count, *order).withColumn("slice", F.spark_partition_id()), "sliced")
+
+
+def repeated(df: DataFrame, copies: str, number: str, block: int = COPIES) -> DataFrame:
+    """Each row of a stored frame ``copies`` (1 or more) times, numbered from 0; many copies are dealt over tasks."""
+    end = F.col(copies) - 1
+    few = df.where(F.col(copies) <= block).withColumn(number, F.explode(F.sequence(F.lit(0).cast("long"), end)))
+    starts = F.explode(F.sequence(F.lit(0).cast("long"), end, F.lit(block).cast("long")))
+    dealt = df.where(F.col(copies) > block).withColumn(number, starts).repartition(number)
+    many = dealt.withColumn(number, F.explode(F.sequence(F.col(number), F.least(end, F.col(number) + block - 1))))
+    return few.unionByName(many)
+
+
 def fresh(df: DataFrame, *names: str) -> list[str]:
     """Column names that ``df`` does not use: the given ones, lengthened where taken."""
     taken, found = {c.lower() for c in df.columns}, []

@@ -12,8 +12,11 @@ from pyspark.sql import functions as F
 from tierflow.llm import (
     chat,
     decontam,
+    divergence,
     embedding_dedup,
+    fingerprints,
     html_text,
+    importance,
     langid,
     license_scan,
     packing,
@@ -102,6 +105,62 @@ _CHAT_SQL = f"""WITH t AS (SELECT DISTINCT conv_id, turn, coalesce(role, 'unknow
     FROM whole ANTI JOIN inside USING (turns) JOIN c USING (conv_id), unnest(range(0, (len(c.turns) + {chat.PART} - 1) // {chat.PART})) AS v(part)"""
 
 
+_ASCII_LOWER = f"'{fingerprints.UPPER}', '{fingerprints.LOWER}'"
+
+_FINGERPRINT_SQL = f"""WITH d AS (SELECT doc_id, coalesce(text, '') AS t FROM documents),
+    n AS (SELECT doc_id, t, length(t) AS n, coalesce(lead(t) OVER o, first_value(t) OVER o) AS other, coalesce(lead(doc_id) OVER o, first_value(doc_id) OVER o) AS other_id
+      FROM d WINDOW o AS (ORDER BY doc_id DESC NULLS LAST)),
+    e AS (SELECT doc_id, other_id, n, t, substring(t, 1, n - n // 2) || substring(other, 1, n // 2) AS edited FROM n),
+    x AS (SELECT doc_id, 0 AS which, t FROM e UNION ALL SELECT doc_id, 1, edited FROM e),
+    w AS (SELECT doc_id, which, list_filter(string_split_regex(translate(t, {_ASCII_LOWER}), '[\\x20\\x09-\\x0D]+'), lambda s: s <> '') AS w FROM x),
+    h AS (SELECT doc_id, which, CASE WHEN len(w) = 0 THEN [] ELSE list_transform(range(0, greatest(len(w) - {fingerprints.WORDS}, 0) + 1),
+      lambda i: substring(md5(array_to_string(w[i + 1:i + {fingerprints.WORDS}], ' ')), 1, {fingerprints.DIGITS})) END AS h FROM w),
+    k AS (SELECT doc_id, which, h, list_filter(h, lambda s: s < '{fingerprints.threshold(fingerprints.ONE_IN)}') AS k FROM h),
+    s AS (SELECT doc_id, which, list_sort(list_distinct(CASE WHEN len(k) > 0 OR len(h) = 0 THEN k ELSE [list_min(h)] END)) AS s FROM k),
+    near AS (SELECT e.doc_id, n, edited, a.s AS a, b.s AS b, c.s AS c FROM e JOIN s a ON a.doc_id = e.doc_id AND a.which = 0
+      JOIN s b ON b.doc_id = e.doc_id AND b.which = 1 JOIN s c ON c.doc_id = e.other_id AND c.which = 0)
+    SELECT doc_id, n AS n_chars, sha256(edited) AS edited_sha256, array_to_string(a, '') AS fingerprint, array_to_string(b, '') AS edited_fingerprint,
+      CASE WHEN least(len(a), len(b)) > 0 THEN len(list_intersect(a, b)) / least(len(a), len(b)) WHEN len(a) = len(b) THEN 1.0 ELSE 0.0 END::DOUBLE AS near_edited,
+      CASE WHEN least(len(a), len(c)) > 0 THEN len(list_intersect(a, c)) / least(len(a), len(c)) WHEN len(a) = len(c) THEN 1.0 ELSE 0.0 END::DOUBLE AS near_next FROM near"""
+
+_WORD_LIST = f"regexp_extract_all(translate(coalesce(text, ''), {_ASCII_LOWER}), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')"
+
+_IMPORTANCE_SQL = f"""WITH c AS (SELECT list(c ORDER BY i) AS t FROM (SELECT i, list_reduce(list_prepend(i, range(8)),
+      lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) AS c FROM range(256) r(i))),
+    d AS MATERIALIZED (SELECT row_number() OVER () AS row, doc_id, {_WORD_LIST} AS w FROM documents),
+    e AS (SELECT row, unnest(w) AS word FROM d), b AS (SELECT unnest({_WORD_LIST}) AS word FROM benchmark),
+    v AS (SELECT word, hex(encode(word)) AS h FROM (SELECT word FROM e UNION SELECT word FROM b)),
+    k AS MATERIALIZED (SELECT word, xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(range(1, length(h), 2), lambda i: CAST('0x' || substr(h, i, 2) AS BIGINT))),
+      lambda s, x: xor(s >> 8, t[1 + (xor(s, x) & 255)])), 4294967295::BIGINT) % 10000 AS bucket FROM v, c),
+    s AS (SELECT bucket, count(*) AS s FROM e JOIN k USING (word) GROUP BY 1), t AS (SELECT bucket, count(*) AS t FROM b JOIN k USING (word) GROUP BY 1),
+    g AS MATERIALIZED (SELECT bucket, floor(1000 * ln(((coalesce(t, 0) + 1)::DOUBLE * ((SELECT count(*) FROM e) + 10000)::DOUBLE)
+      / ((coalesce(s, 0) + 1)::DOUBLE * ((SELECT count(*) FROM b) + 10000)::DOUBLE)))::BIGINT AS gain FROM s FULL JOIN t USING (bucket)),
+    w AS (SELECT row, sum(gain)::BIGINT AS weight FROM e JOIN k USING (word) JOIN g USING (bucket) GROUP BY 1),
+    x AS (SELECT doc_id, len(d.w)::BIGINT AS n_features, coalesce(weight, 0) AS weight,
+      coalesce(weight, 0) + floor(-1000 * ln(-ln((('0x' || sha256('2024:' || coalesce(doc_id::VARCHAR, ''))[1:8])::BIGINT + 0.5::DOUBLE) / 4294967296::DOUBLE)))::BIGINT AS score
+      FROM d LEFT JOIN w USING (row)),
+    r AS (SELECT *, row_number() OVER (ORDER BY n_features < 20, score DESC, doc_id, n_features) AS place FROM x)
+    SELECT doc_id, n_features, weight, score, CASE WHEN place <= (SELECT 10 * count(*) // 100 FROM x WHERE n_features >= 20) THEN place END AS rank FROM r"""
+
+_DIVERGENCE_SQL = f"""WITH d AS (SELECT row_number() OVER () AS row, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+      regexp_extract_all(translate(coalesce(text, ''), {_ASCII_LOWER}), '[^\\x00-\\x40\\x5B-\\x60\\x7B-\\x7F]+') AS w FROM documents),
+    e AS (SELECT row, lang, source, unnest(w) AS term FROM d),
+    c AS MATERIALIZED (SELECT lang, source, term, count(*) AS n, count(DISTINCT row) AS docs FROM e GROUP BY 1, 2, 3),
+    k AS MATERIALIZED (SELECT lang, term, sum(n)::BIGINT AS n FROM c GROUP BY 1, 2 HAVING sum(docs) >= 10),
+    l AS MATERIALIZED (SELECT lang, count(*) AS v, sum(n)::BIGINT AS total FROM k GROUP BY 1),
+    g AS MATERIALIZED (SELECT lang, source, coalesce(total, 0)::BIGINT AS total FROM (SELECT DISTINCT lang, source FROM d)
+      LEFT JOIN (SELECT lang, source, sum(c.n) AS total FROM c JOIN k USING (lang, term) GROUP BY 1, 2) USING (lang, source)),
+    p AS MATERIALIZED (SELECT g.lang, g.source, k.term, coalesce(c.n, 0) AS n, 1 + (1000000000 * (coalesce(c.n, 0) + 2)) // (g.total + 2 * v) AS p,
+      1 + (1000000000 * (k.n + 2)) // (l.total + 2 * v) AS q
+      FROM g JOIN k USING (lang) JOIN l USING (lang) LEFT JOIN c ON c.lang = g.lang AND c.source = g.source AND c.term = k.term),
+    f AS (SELECT a.lang, a.source, b.source AS item, sum((a.p - b.p) * (a.p - b.p) // (a.p + b.p))::BIGINT AS value
+      FROM p a JOIN p b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY 1, 2, 3),
+    r AS (SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(value, 0) AS value FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source
+      LEFT JOIN f ON f.lang = a.lang AND f.source = a.source AND f.item = b.source
+      UNION ALL SELECT lang, source, 'term', term, (p - q) * (p - q) // (p + q) FROM p WHERE n > 0 AND p > q)
+    SELECT *, CAST(row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS INTEGER) AS rank FROM r QUALIFY part = 'pair' OR rank <= 10"""
+
+
 def query(name: str, sql: str | None = None):
     def register(fn: Callable[[SparkSession, str], DataFrame]):
         QUERIES[name] = fn
@@ -177,6 +236,22 @@ def op10(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+@query("op11_document_fingerprints", _FINGERPRINT_SQL)
+def op11(spark: SparkSession, folder: str) -> DataFrame:
+    return fingerprints.compared_with_edits(table(spark, folder, "documents"))
+
+
+@query("op12_importance_resampling", _IMPORTANCE_SQL)
+def op12(spark: SparkSession, folder: str) -> DataFrame:
+    drawn = importance.resampled(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+    return drawn.select("doc_id", "n_features", "weight", "score", "rank")
+
+
+@query("op13_source_divergence", _DIVERGENCE_SQL)
+def op13(spark: SparkSession, folder: str) -> DataFrame:
+    return divergence.audit(table(spark, folder, "documents"))
+
+
 @query("pipeline", corpus_pipeline.ORACLE_SQL)
 def pipeline(spark: SparkSession, folder: str) -> DataFrame:
     return corpus_pipeline.run(spark, folder)
