@@ -42,5 +42,6 @@ def load_all() -> None:
         quality,
         saved,
         telemetry,
+        versioned,
         windows,
     )

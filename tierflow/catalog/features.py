@@ -9,7 +9,7 @@ from tierflow.catalog.joins import event_features, order_spine
 from tierflow.catalog.sqltext import r
 from tierflow.functions import columns
 from tierflow.functions.columns import money, rounded
-from tierflow.operators import features, governance, ordered, texts, timeseries
+from tierflow.operators import features, governance, ordered, similarity, texts, timeseries
 from tierflow.plans import domain
 
 
@@ -238,6 +238,19 @@ def t4(t):
     return found.select("vec_id", rounded("similarity", 6).alias("similarity"))
 
 
+@query(
+    "t4_most_similar_to_each",
+    f"""WITH s AS (SELECT q.vec_id AS query_id, e.vec_id AS id, list_cosine_similarity(CAST(q.embedding AS DOUBLE[]), CAST(e.embedding AS DOUBLE[])) AS c
+      FROM embeddings q JOIN embeddings e ON q.vec_id <> e.vec_id WHERE q.vec_id % 50 = 0)
+    SELECT query_id, id, {r('c', 6)} AS similarity, CAST(row_number() OVER (PARTITION BY query_id ORDER BY c DESC, id) AS INTEGER) AS rank FROM s
+    QUALIFY rank <= 10""",
+)
+def t4_each(t):
+    queries = t.embeddings.where(F.col("vec_id") % 50 == 0)
+    found = similarity.most_similar_to_each(t.embeddings, queries, 10, "vec_id", "embedding", but_itself=True)
+    return found.withColumn("similarity", rounded("similarity", 6))
+
+
 @query(
     "v2_mask_cleared_role",
     "SELECT interaction_id, email FROM fans",

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import os
 import re
 import tempfile
 import uuid
+from pathlib import Path
 
 from pyspark.sql import SparkSession
 
@@ -46,6 +48,18 @@ def hot_group_rows(spark: SparkSession) -> int:
     return int(spark.conf.get(HOT_GROUP_ROWS_KEY, str(HOT_GROUP_ROWS_DEFAULT)))
 
 
+def share_library(spark: SparkSession) -> None:
+    """Puts this library on the path of Python workers started from now on, for drivers that only extended sys.path.
+
+    Executors on other machines need it installed or sent along (``--py-files``), as any Spark job does.
+    """
+    root = str(Path(__file__).resolve().parents[1])
+    environment = spark.sparkContext.environment
+    paths = [p for p in environment.get("PYTHONPATH", "").split(os.pathsep) if p]
+    if root not in paths and root not in os.environ.get("PYTHONPATH", "").split(os.pathsep):
+        environment["PYTHONPATH"] = os.pathsep.join([*paths, root])
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder for checkpoints and work tables: the cluster's, or a fresh local one in local mode."""
     configured = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
