@@ -60,41 +60,6 @@ def _secret_sql() -> str:
     FROM d LEFT JOIN n USING (row) GROUP BY row"""
 
 
-def _license_sql() -> str:
-    """The licence scan for DuckDB, over the same fixed tables."""
-    values = lambda rows: ", ".join("(" + ", ".join(f"'{x}'" if isinstance(x, str) else str(x) for x in r) + ")" for r in rows)
-    index, keys = license_scan._index(), license_scan._keys()
-    count = lambda rows, n: sum(m == n for _, m, _ in rows)
-    sizes = [(n, t.label, count(index, n), count(keys, n)) for n, t in enumerate(license_scan.TEMPLATES)]
-    words = lambda phrase: "[" + ", ".join(f"'{w}'" for w in phrase.split()) + "]"
-    phrases = ", ".join(f"({words(p)}, '{label}')" for p, label in license_scan.PHRASES)
-    common = ", ".join(f"'{w}'" for w in sorted(license_scan.COMMON))
-    upper, lower = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-    return f"""WITH d AS (SELECT row_number() OVER () AS row, doc_id,
-      regexp_extract_all(translate(coalesce(text, ''), '{upper}', '{lower}'), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS w FROM documents),
-    e AS MATERIALIZED (SELECT row, unnest(w) AS word, generate_subscripts(w, 1) - 1 AS pos FROM d),
-    base AS (SELECT row, pos, label FROM e JOIN d USING (row), (VALUES {phrases}) p(phrase, label)
-      WHERE word = phrase[1] AND w[pos + 1:pos + len(phrase)] = phrase),
-    i(word, template, at) AS (VALUES {values(index)}), k(word, template, at) AS (VALUES {values(keys)}),
-    s(template, label, size, keys) AS (VALUES {values(sizes)}),
-    held AS (SELECT DISTINCT row, word FROM e WHERE word IN (SELECT word FROM i UNION SELECT word FROM k UNION SELECT unnest(phrase) FROM (VALUES {phrases}) p(phrase, label)) AND word NOT IN ({common})),
-    chosen AS (SELECT row, word FROM held JOIN (SELECT word, count(*) AS n FROM held GROUP BY 1) USING (word)
-      QUALIFY row_number() OVER (PARTITION BY row ORDER BY n, word) <= 8),
-    tried AS (SELECT row, template, pos - at AS place FROM e JOIN chosen USING (row, word) JOIN i USING (word) JOIN s USING (template)
-      GROUP BY row, template, pos - at, size HAVING count(*) >= least(2, size)),
-    sure AS (SELECT row, template, place FROM tried JOIN k USING (template) JOIN e ON e.row = tried.row AND e.word = k.word AND e.pos - k.at = place JOIN s USING (template)
-      GROUP BY tried.row, template, place, keys HAVING count(*) = keys),
-    cover AS (SELECT row, label, max(n / size) AS cover FROM (SELECT sure.row, template, place, count(*) AS n FROM sure JOIN i USING (template)
-      JOIN e ON e.row = sure.row AND e.word = i.word AND e.pos - i.at = place GROUP BY 1, 2, 3) JOIN s USING (template) GROUP BY 1, 2),
-    b AS (SELECT row, count(*) AS n, min(pos) AS first, max(pos) AS last, list_sort(list(DISTINCT label)) AS labels FROM base GROUP BY 1),
-    c AS (SELECT row, list(label) AS labels, max(cover) AS cover FROM cover GROUP BY 1)
-    SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(b.n, 0) AS n_base, CAST(b.first AS BIGINT) AS first_word, CAST(b.last AS BIGINT) AS last_word,
-      array_to_string(coalesce(b.labels, []), ',') AS base_labels,
-      array_to_string(list_sort(list_distinct(list_concat(coalesce(b.labels, []), coalesce(c.labels, [])))), ',') AS labels,
-      CASE WHEN b.n > 0 THEN CAST(1 AS DOUBLE) ELSE coalesce(CAST(c.cover AS DOUBLE), 0) END AS score
-    FROM d LEFT JOIN b USING (row) LEFT JOIN c USING (row)"""
-
-
 _CHAT_SQL = f"""WITH t AS (SELECT DISTINCT conv_id, turn, coalesce(role, 'unknown') AS role, coalesce(text, '') AS text FROM conversations WHERE conv_id IS NOT NULL),
     c AS (SELECT conv_id, list(role || chr(1) || text ORDER BY turn NULLS FIRST, role, text) AS turns,
       list('{chat.OPEN}' || role || chr(10) || replace(text, '<|im_', '{chat.ESCAPED}') || '{chat.CLOSE}' || chr(10) ORDER BY turn NULLS FIRST, role, text) AS shown FROM t GROUP BY 1),
@@ -125,6 +90,33 @@ _FINGERPRINT_SQL = f"""WITH d AS (SELECT doc_id, coalesce(text, '') AS t FROM do
 
 _WORD_LIST = f"regexp_extract_all(translate(coalesce(text, ''), {_ASCII_LOWER}), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')"
 
+def _license_sql() -> str:
+    """The licence scan for DuckDB: every place where all key words stand, whatever their frequency."""
+    values = lambda rows: ", ".join("(" + ", ".join(f"'{x}'" if isinstance(x, str) else str(x) for x in r) + ")" for r in rows)
+    listed = [license_scan.Template(label, phrase, phrase) for phrase, label in license_scan.PHRASES] + list(license_scan.TEMPLATES)
+    plain = len(license_scan.PHRASES)
+    names = values((n, t.label, len(t.key.split())) for n, t in enumerate(listed))
+    keys = values((n, word, at) for n, t in enumerate(listed) for word, at in license_scan.key_places(t))
+    wordings = values((n, word, at) for n, t in enumerate(listed) for at, word in enumerate(t.text.split()))
+    return f"""WITH d AS MATERIALIZED (SELECT row_number() OVER () AS r, doc_id, {_WORD_LIST} AS w FROM documents),
+    e AS MATERIALIZED (SELECT r, unnest(w) AS word, generate_subscripts(w, 1) - 1 AS pos FROM d),
+    s(template, label, size) AS (VALUES {names}), k(template, word, place) AS (VALUES {keys}), t(template, word, place) AS (VALUES {wordings}),
+    f AS (SELECT word, 1 + floor(1000 * ln(((SELECT count(*) FROM d) + 1) / (coalesce(n, 0) + 1)))::BIGINT AS weight
+      FROM (SELECT DISTINCT word FROM t) LEFT JOIN (SELECT word, count(DISTINCT r) AS n FROM e GROUP BY 1) USING (word)),
+    sure AS MATERIALIZED (SELECT r, template, pos - place AS start FROM e JOIN k USING (word) JOIN s USING (template) GROUP BY r, template, pos - place, size HAVING count(*) = size),
+    c AS (SELECT sure.r AS r, template, start, sum(weight) AS weight FROM sure JOIN t USING (template) JOIN f USING (word)
+      JOIN e ON e.r = sure.r AND e.word = t.word AND e.pos = start + place GROUP BY sure.r, template, start),
+    whole AS (SELECT template, sum(weight) AS total FROM t JOIN f USING (word) GROUP BY 1),
+    b AS (SELECT r, count(*) AS n, min(start) AS first, max(start) AS last, list_sort(list(DISTINCT label)) AS labels
+      FROM sure JOIN s USING (template) WHERE template < {plain} GROUP BY 1),
+    o AS (SELECT r, list(DISTINCT label) AS labels, max(weight::DOUBLE / total) AS cover FROM c JOIN whole USING (template) JOIN s USING (template) WHERE template >= {plain} GROUP BY 1)
+    SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(b.n, 0) AS n_base, b.first::BIGINT AS first_word, b.last::BIGINT AS last_word,
+      array_to_string(coalesce(b.labels, []), ',') AS base_labels,
+      array_to_string(list_sort(list_distinct(list_concat(coalesce(b.labels, []), coalesce(o.labels, [])))), ',') AS labels,
+      CASE WHEN b.n > 0 THEN 1.0 ELSE coalesce(o.cover, 0) END::DOUBLE AS score
+    FROM d LEFT JOIN b USING (r) LEFT JOIN o USING (r)"""
+
+
 _IMPORTANCE_SQL = f"""WITH c AS (SELECT list(c ORDER BY i) AS t FROM (SELECT i, list_reduce(list_prepend(i, range(8)),
       lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) AS c FROM range(256) r(i))),
     d AS MATERIALIZED (SELECT row_number() OVER () AS row, doc_id, {_WORD_LIST} AS w FROM documents),
