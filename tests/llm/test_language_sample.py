@@ -12,7 +12,7 @@ def test_language_sample_of_one_id_with_many_texts(spark, monkeypatch):
     frame = spark.createDataFrame(docs + docs[:500], "doc_id long, text string, lang string").repartition(6)
     seen: dict = {}
     build = langid.build
-    monkeypatch.setattr(langid, "build", lambda samples, n: seen.update(samples) or build(samples, n))
+    monkeypatch.setattr(langid, "build", lambda samples: seen.update(samples) or build(samples))
     fetched = []
     collect = type(frame).collect
     monkeypatch.setattr(type(frame), "collect", lambda self: fetched.append(collect(self)) or fetched[-1])

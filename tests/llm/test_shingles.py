@@ -1,10 +1,9 @@
-"""The near-duplicate stage against all pairs of five-word sets."""
+"""Near-duplicates by similarity against all pairs of five-word sets."""
 
 from __future__ import annotations
 
 import random
 
-import corpus_pipeline
 import pytest
 from conftest import SMALL
 from test_documents import prose
@@ -54,8 +53,8 @@ def test_every_pair_of_the_similarity_is_joined(spark, near, monkeypatch, cell):
     assert {r.doc_id for r in kept.collect()} == kept_ids(near)
 
 
-def test_stage_on_documents(spark):
+def test_similarity_on_documents(spark):
     docs = table(spark, SMALL, "documents")
-    kept = corpus_pipeline.near_duplicates(spark, docs, SMALL)
+    kept = simhash.one_of_each(docs, words_per_shingle=5, similarity=0.8)
     assert kept.columns == docs.columns
     assert {r.doc_id for r in kept.collect()} == kept_ids({r.doc_id: r.text for r in docs.collect()})

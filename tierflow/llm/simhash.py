@@ -155,11 +155,11 @@ def _cell(i: Column, j: Column, owner: bool) -> Column:
     return F.struct(i.cast("int").alias("i"), j.cast("int").alias("j"), F.lit(owner).alias("owner"))
 
 
-def _classified(docs: DataFrame, id_col: str, text_col: str, max_bits: int) -> DataFrame:
+def _classified(docs: DataFrame, id_col: str, text_col: str, max_bits: int, words_per_shingle: int = 3) -> DataFrame:
     """Rows (id, text_key, fp, root, component_id): root is the smallest fingerprint of the class."""
     prepare(docs.sparkSession)
     text_key = F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))).alias("text_key")
-    raw = docs.select(F.col(id_col).alias("id"), text_key, fingerprint_column(F.col(text_col)).alias("fp"))
+    raw = docs.select(F.col(id_col).alias("id"), text_key, fingerprint_column(F.col(text_col), words_per_shingle).alias("fp"))
     known = stored(raw, "simhash-prints")
     classes = stored(known.groupBy("fp").agg(F.min("id").alias("least")), "simhash-classes")
     roots = components(near_edges(classes, max_bits))
@@ -184,16 +184,16 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
 def one_of_each(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", max_bits: int = 3,
-    words_per_shingle: int = 5, similarity: float | None = None,
+    words_per_shingle: int = 3, similarity: float | None = None,
 ) -> DataFrame:
     """``docs`` with one row of each class of near-duplicates: the one of the smallest id (null ids last).
 
-    Texts link at ``max_bits`` or fewer differing bits or, where ``similarity`` is given, at that Jaccard similarity of
-    their shingles of ``words_per_shingle`` words (see ``shingles``). Rows are told apart by id and text; of rows equal
+    Texts link where the fingerprints of their shingles of ``words_per_shingle`` words differ in ``max_bits`` bits or fewer or,
+    where ``similarity`` is given, at that Jaccard similarity of the shingles (see ``shingles``). Rows are told apart by id and text; of rows equal
     in both, any one is kept. All columns are handed through.
     """
     if similarity is None:
-        classes = _classified(docs, id_col, text_col, max_bits)
+        classes = _classified(docs, id_col, text_col, max_bits, words_per_shingle)
     else:
         classes = shingles.classified(docs, id_col, text_col, words_per_shingle, similarity)
     found = stored(classes, "simhash-found")
