@@ -20,17 +20,20 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps one document of each group that shares 0.8 or more of its five-word shingles (Jaccard)."""
-    return simhash.one_of_each(docs, words_per_shingle=5, similarity=0.8)
+    """Keeps the document of smallest id of each group whose SimHash fingerprints (three-word shingles) differ in 3 bits or fewer.
+
+    Null and empty texts share fingerprint zero and are one group; of rows equal in id and text one is kept.
+    """
+    return simhash.one_of_each(docs, max_bits=3, words_per_shingle=3)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drops documents that hold a benchmark item."""
+    """Drops documents that hold a benchmark item; a null or empty text holds none and stays."""
     return decontam.without_leaks(docs, table(spark, sf_dir, "benchmark"))
 
 
 def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Masks credentials in the texts; no document goes."""
+    """Masks credentials in the texts; no document goes. A null text becomes empty."""
     masked = secret_scan.redacted(docs)
     if "n_chars" not in docs.columns:
         return masked
@@ -38,7 +41,7 @@ def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Cuts the token ids of each document into power-of-two sequences of at most 4096 tokens."""
+    """Cuts the token ids of each document into power-of-two sequences of at most 4096 tokens; an empty text is its end id."""
     return packing.pieces(docs, public_tokenizers.path("word_bpe_49k.json"), end_id=2, longest=4096)
 
 
