@@ -42,6 +42,24 @@ def clusters(seed: int, count: int) -> list[list[float]]:
     return found
 
 
+def test_no_margin_misses_no_pair(spark):
+    """Pairs at a cosine just above the limit, in cells so small that most pairs lie across a border."""
+    r = np.random.default_rng(6)
+    first = r.standard_normal((1500, 16))
+    first /= np.linalg.norm(first, axis=1)[:, None]
+    aside = r.standard_normal(first.shape)
+    aside -= (aside * first).sum(axis=1)[:, None] * first
+    aside /= np.linalg.norm(aside, axis=1)[:, None]
+    both = np.concatenate([first, 0.951 * first + np.sqrt(1 - 0.951**2) * aside]).tolist()
+    frame = spark.createDataFrame(list(enumerate(both)), "vec_id long, embedding array<double>").repartition(4)
+    units = np.array(both) / np.linalg.norm(both, axis=1)[:, None]
+    links = (units @ units.T >= 0.95).sum(axis=1) - 1
+    found = {x.vec_id: x.n_links for x in embedding_dedup.near_duplicates(frame, margin=None, cell_rows=40).collect()}
+    assert [found[k] for k in range(len(both))] == links.tolist()
+    some = embedding_dedup.near_duplicates(frame, cell_rows=40).collect()
+    assert sum(x.n_links for x in some) >= 0.9 * links.sum()
+
+
 @pytest.mark.parametrize("cell_rows, slice_rows", [(1000, 4096), (40, 4096), (60, 16)])
 def test_links_match_all_pairs(spark, cell_rows, slice_rows):
     vectors = clusters(4, 90)

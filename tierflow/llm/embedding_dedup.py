@@ -2,8 +2,10 @@
 
 Equal vectors are one class from the start. Centroids are fitted on a bounded sample; then every class joins the cell of
 its nearest centroid and each cell whose centroid lies at most ``margin`` degrees further away. Two classes meet in the
-cells they share and are counted in the first of them only, so that the number of links is exact for the pairs found. A
-large cell is cut into slices, and each pair of slices is a task of its own.
+cells they share and are counted in the first of them only, so that the number of links is exact for the pairs found. Without
+a margin a class joins every cell whose border with its own lies within half the chord of the threshold: of two vectors at the
+threshold, one lies that near to the border between their cells, so that no pair is missed, at the price of many more cells a
+vector where the vectors form no groups. A large cell is cut into slices, and each pair of slices is a task of its own.
 """
 
 from __future__ import annotations
@@ -40,7 +42,19 @@ def fit_centroids(sample: np.ndarray, cells: int, rounds: int = 8) -> np.ndarray
     return centroids
 
 
-def _assign(shared, margin: float):
+def _members(vectors: np.ndarray, centroids: np.ndarray, margin: float | None, threshold: float) -> np.ndarray:
+    """Whether each vector belongs to each cell."""
+    products = vectors @ centroids.T
+    if margin is not None:
+        angles = np.degrees(np.arccos(np.clip(products, -1, 1)))
+        return angles <= angles.min(axis=1, keepdims=True) + margin
+    nearest = products.argmax(axis=1)
+    between = np.linalg.norm(centroids[nearest][:, None, :] - centroids[None, :, :], axis=2)
+    half_chord = np.sqrt(max(0.0, (1 - threshold) / 2))
+    return products.max(axis=1, keepdims=True) - products <= half_chord * between + 1e-9
+
+
+def _assign(shared, margin: float | None, threshold: float):
     names = ["size", "cell", "cid", "copies", "earlier", "embedding"]
 
     def cells_of(ids: np.ndarray, copies: np.ndarray, lists, size: int) -> pa.RecordBatch:
@@ -48,8 +62,9 @@ def _assign(shared, margin: float):
         if centroids is None:  # a length too rare for the sample has one cell
             row, cell = np.arange(len(ids)), np.zeros(len(ids), dtype=np.int64)
         else:
-            angles = np.degrees(np.arccos(np.clip(unit_vectors(lists, size) @ centroids.T, -1, 1)))
-            row, cell = np.nonzero(angles <= angles.min(axis=1, keepdims=True) + margin)
+            units = unit_vectors(lists, size)
+            parts = [_members(units[k : k + 64], centroids, margin, threshold) for k in range(0, len(units), 64)]
+            row, cell = np.nonzero(np.concatenate(parts))
         own = np.split(cell, np.searchsorted(row, np.arange(1, len(ids))))
         earlier = pa.array([own[r][own[r] < c] for r, c in zip(row, cell)], pa.list_(pa.int64()))
         sizes = np.full(len(row), size, dtype=np.int64)
@@ -119,12 +134,12 @@ def _compare(threshold: float):
 
 def near_duplicates(
     vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding", threshold: float = 0.95,
-    margin: float = 3.0, sample_rows: int = 20_000, cell_rows: int = 250, slice_rows: int = 4096,
+    margin: float | None = 3.0, sample_rows: int = 20_000, cell_rows: int = 250, slice_rows: int = 4096,
 ) -> DataFrame:
     """One row a vector: id, n_links (other vectors linked directly), component_id (smallest id reachable), kept.
 
     ``sample_rows`` is the expected size of the sample, taken by hash, that the centroids are fitted on; ``cell_rows`` is the mean number of classes a cell
-    is made for. Pairs that share no cell are missed: ``margin`` sets how rarely. Vectors that are null, empty or zero,
+    is made for. Pairs that share no cell are missed: ``margin`` (degrees) sets how rarely, and None misses none. Vectors that are null, empty or zero,
     or hold null or non-finite numbers, link with nothing, equal ones neither; vectors of different lengths never link.
     Repeated rows are vectors of their own. A null id takes no part in the minimum; alone, it has a null component_id
     and is kept.
@@ -160,7 +175,7 @@ def near_duplicates(
 
     kind = f"array<{classes.schema['embedding'].dataType.elementType.simpleString()}>"
     schema = f"size long, cell long, cid long, copies long, earlier array<long>, embedding {kind}"
-    placed = classes.select("cid", "copies", "embedding").mapInArrow(_assign(shared, margin), schema)
+    placed = classes.select("cid", "copies", "embedding").mapInArrow(_assign(shared, margin, threshold), schema)
     large = placed.groupBy("size", "cell").count().where(F.col("count") > slice_rows)
     large = large.select("size", "cell", F.ceil(F.col("count") / slice_rows).cast("int").alias("slices"))
     sliced = placed.join(large, ["size", "cell"], "left").withColumn("slices", F.coalesce("slices", F.lit(1)))
