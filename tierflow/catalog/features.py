@@ -83,7 +83,21 @@ def e4(t):
     return features.correlations(t.lineitem, NUMBERS).withColumn("correlation", rounded("correlation", 4))
 
 
-@query("e4_drop_correlated", "SELECT * FROM (VALUES ('l_quantity'), ('l_extendedprice'), ('l_discount')) v(feature) WHERE (SELECT count(*) FROM lineitem) > 0")
+def _kept_sql(names: dict[str, str], limit: float = 0.95) -> str:
+    """Names kept from left to right; each is compared with those kept before it."""
+    listed, pairs, kept = list(names), [], []
+    for j, b in enumerate(listed):
+        pairs += [f"abs(corr({names[a]}, {names[b]})) > {limit} AS s{i}_{j}" for i, a in enumerate(listed[:j])]
+        kept.append(" AND ".join([f"NOT (k{i} AND s{i}_{j})" for i in range(j)] or ["TRUE"]) + f" AS k{j}")
+    steps = "".join(f", c{j} AS (SELECT *, {k} FROM c{j - 1})" if j else f", c0 AS (SELECT *, {k} FROM c)" for j, k in enumerate(kept))
+    rows = " UNION ALL ".join(f"SELECT '{n}' AS feature FROM c{len(listed) - 1} WHERE k{j}" for j, n in enumerate(listed))
+    return f"WITH c AS (SELECT {', '.join(pairs)} FROM lineitem){steps} {rows}"
+
+
+@query(
+    "e4_drop_correlated",
+    _kept_sql({"l_quantity": "l_quantity", "twice_quantity": "l_quantity * 2 + 1", "l_extendedprice": "l_extendedprice", "l_discount": "l_discount"}),
+)
 def e4_drop(t):
     frame = t.lineitem.withColumn("twice_quantity", F.col("l_quantity") * 2 + 1)
     kept = features.drop_correlated(frame, ["l_quantity", "twice_quantity", "l_extendedprice", "l_discount"])

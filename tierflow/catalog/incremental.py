@@ -8,7 +8,7 @@ from tierflow.catalog import query
 from tierflow.catalog.ingest import EVENT_SCHEMA, event_stream
 from tierflow.catalog.sqltext import r
 from tierflow.functions.columns import hour_of, money, rounded
-from tierflow.operators import history, merging
+from tierflow.operators import history, intervals, merging
 from tierflow.operators.sessions import sessionize
 from tierflow.plans import domain, layers
 from tierflow.plans.refresh import refresh
@@ -472,6 +472,17 @@ def j9(t):
     ).agg(F.count("*").alias("moves"))
 
 
+@query(
+    "j9_facts_at_their_version",
+    f"""WITH {VERSIONS_SQL} SELECT o_orderpriority AS priority, e.event_type, count(*) AS events FROM (SELECT * FROM fans JOIN events ON interaction_id = event_id) e
+    LEFT JOIN versions v ON user_id = o_custkey AND valid_from <= event_ts AND coalesce(nxt, TIMESTAMP '9999-12-31') > event_ts GROUP BY 1, 2""",
+)
+def j9_facts(t):
+    facts = domain.fan_activity(t).select(F.col("user_id").alias("o_custkey"), "event_type", "event_ts")
+    found = intervals.join_valid(facts, customer_versions(t), ["o_custkey"], "event_ts", "valid_from", "valid_to")
+    return found.groupBy(F.col("o_orderpriority").alias("priority"), "event_type").agg(F.count("*").alias("events"))
+
+
 @query(
     "gq8_moved_fan_spend",
     f"""WITH spend AS (SELECT o_orderkey, o_custkey, o_orderpriority, o_orderdate AS valid_from, CAST(o_totalprice AS DECIMAL(15,2)) AS price,

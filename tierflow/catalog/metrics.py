@@ -113,6 +113,23 @@ def m3(t):
     return found.withColumn("revenue", rounded("revenue", 2))
 
 
+ORDERED = """orders LEFT JOIN customer ON o_custkey = c_custkey LEFT JOIN nation ON c_nationkey = n_nationkey
+  LEFT JOIN region ON n_regionkey = r_regionkey"""
+
+
+@query(
+    "m3_two_grains",
+    f"""WITH a AS (SELECT c_mktsegment AS segment, r_name AS region, sum({NET}) AS revenue, count(DISTINCT l_orderkey) AS order_count FROM {JOINED} GROUP BY 1, 2),
+    b AS (SELECT c_mktsegment AS segment, r_name AS region, sum(CAST(o_totalprice AS DECIMAL(15,2))) AS order_total, count(*) AS orders_placed FROM {ORDERED} GROUP BY 1, 2)
+    SELECT coalesce(a.segment, b.segment) AS segment, coalesce(a.region, b.region) AS region, {r('revenue', 2)} AS revenue, order_count,
+    {r('order_total', 2)} AS order_total, orders_placed
+    FROM a FULL JOIN b ON a.segment IS NOT DISTINCT FROM b.segment AND a.region IS NOT DISTINCT FROM b.region""",
+)
+def m3_two(t):
+    found = ask(MODEL, t, ["segment", "region"], ["revenue", "order_count", "order_total", "orders_placed"])
+    return found.withColumns({c: rounded(c, 2) for c in ("revenue", "order_total")})
+
+
 @query(
     "m3_ordered_and_limited",
     f"""SELECT p_brand AS brand, {r(f'sum({NET})', 2)} AS revenue FROM {JOINED} WHERE year(o_orderdate) = 1998 GROUP BY 1
@@ -181,7 +198,10 @@ def m7_ratio(t):
 
 @query(
     "d21_metric_equals_direct",
-    """SELECT c_mktsegment AS segment, count(*) AS metric, count(*) AS direct, 'PASS' AS status FROM orders JOIN customer ON o_custkey = c_custkey GROUP BY 1""",
+    """WITH a AS (SELECT c_mktsegment AS segment, count(*) AS metric FROM orders LEFT JOIN customer ON o_custkey = c_custkey GROUP BY 1),
+    b AS (SELECT c_mktsegment AS segment, CAST(sum(n) AS BIGINT) AS direct FROM (SELECT o_custkey, count(*) AS n FROM orders GROUP BY 1) JOIN customer ON o_custkey = c_custkey GROUP BY 1)
+    SELECT coalesce(a.segment, b.segment) AS segment, metric, direct, CASE WHEN metric = direct THEN 'PASS' ELSE 'FAIL' END AS status
+    FROM a FULL JOIN b ON a.segment = b.segment""",
 )
 def d21(t):
     metric = ask(MODEL, t, ["segment"], ["orders_placed"], aliases={"orders_placed": "metric"})

@@ -181,6 +181,19 @@ def w9(t):
     )
 
 
+@query(
+    "w9_keyed_range_frame",
+    f"""SELECT event_id, count(*) OVER w AS events, {r('CAST(sum(CAST(value AS DECIMAL(15,2))) OVER w AS DOUBLE)', 2)} AS total FROM events
+    WINDOW w AS (PARTITION BY event_type ORDER BY ts RANGE BETWEEN INTERVAL 3 HOUR PRECEDING AND CURRENT ROW)""",
+)
+def w9_keyed(t):
+    hour = 3_600_000_000
+    rows = t.events.select("event_id", "event_type", F.unix_micros(F.col("ts").cast("timestamp")).alias("at"), money("value").alias("value"))
+    totals = {"events": F.lit(1).cast("bigint"), "total": F.col("value")}
+    found = ordered.over_range(rows, ["event_type"], "at", 3 * hour, 0, totals)
+    return found.select("event_id", "events", rounded("total", 2).alias("total"))
+
+
 @query(
     "w10_thirty_periods_ago",
     f"""WITH {DAILY_SQL} SELECT day, CAST(quantity AS DOUBLE) AS quantity, CAST(lag(quantity, 30) OVER (ORDER BY day) AS DOUBLE) AS quantity_30_ago FROM d""",
@@ -299,14 +312,10 @@ def o6_fixed(t):
 
 @query(
     "o6_seeded_sample",
-    "SELECT count(*) AS orders, count(*) > 0 AS share_ok, count(*) = count(o_orderkey) AS all_known FROM orders",
+    f"SELECT o_orderkey, o_custkey FROM orders WHERE CAST('0x' || substr(md5('42:' || CAST(o_orderkey AS VARCHAR)), 1, 8) AS BIGINT) < {int(0.1 * 2**32)}",
 )
 def o6_seeded(t):
-    # Which rows are drawn is the engine's affair; their number and that each is a row of the table are not.
-    drawn = t.orders.sample(0.1, seed=42).select("o_orderkey", F.lit(1).alias("drawn"))
-    joined = t.orders.select("o_orderkey").join(drawn, "o_orderkey", "full_outer")
-    share = F.abs(F.count("drawn") - 0.1 * F.count("*")) <= 4 * F.sqrt(0.09 * F.count("*"))
-    return joined.agg(F.count("*").alias("orders"), share.alias("share_ok"), (F.count("o_orderkey") == F.count("*")).alias("all_known"))
+    return picking.seeded_sample(t.orders, "o_orderkey", 0.1, seed=42).select("o_orderkey", "o_custkey")
 
 
 @query(

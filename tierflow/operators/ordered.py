@@ -150,6 +150,53 @@ def over_neighbours(
     )
 
 
+def over_range(
+    df: DataFrame, keys: Sequence[str], at: str, before: int, after: int, totals: Mapping[str, Column], hot: bool | None = None
+) -> DataFrame:
+    """Adds sums over the rows of the key whose whole-numbered ``at`` lies from ``before`` back to ``after`` ahead.
+
+    The keyed RANGE frame of SQL: rows of equal ``at`` share their frame, and a null ``at`` sees the other nulls of its key. Any sum
+    is null where the frame holds no value. A hot key is first summed per ``at``; its rows are cut into even slices in
+    order, and each slice borrows from the slices around it the sums that lie within the frame. Frames wider than a slice
+    borrow from as many slices as they reach, so no task holds a whole key unless the frame does.
+    """
+    keys = list(keys)
+    inputs = {n: f"_in_{n}" for n in totals}
+    df = df.withColumns({inputs[n]: c for n, c in totals.items()})
+    frame = lambda by: W.partitionBy(*by).orderBy(at).rangeBetween(-before, after)
+    if not _is_hot(df, keys, hot):
+        return df.withColumns({n: F.sum(inputs[n]).over(frame(keys)) for n in totals}).drop(*inputs.values())
+    points = df.groupBy(*keys, at).agg(*[F.sum(inputs[n]).alias(inputs[n]) for n in totals])
+    rows = _sliced(points, keys, [at])
+    spans = rows.where(F.col(at).isNotNull()).groupBy("_slice", *keys).agg(F.min(at).alias("_low"), F.max(at).alias("_high"))
+    # One row a slice and key; a slice holds many keys or a part of a hot one, and only keys in several slices borrow.
+    several = spans.groupBy(*keys).agg(F.count("*").alias("_n")).where("_n > 1")
+    near = _null_safe(spans, several.drop("_n"), keys, "left_semi")
+    other = near.select(F.col("_slice").alias("_to"), *[F.col(k).alias(f"_k_{k}") for k in keys], F.col("_low").alias("_l"), F.col("_high").alias("_h"))
+    same = (F.col("_slice") != F.col("_to")) & (F.col("_high") >= F.col("_l") - before) & (F.col("_low") <= F.col("_h") + after)
+    for k in keys:
+        same = same & F.col(k).eqNullSafe(F.col(f"_k_{k}"))
+    lends = near.join(other, same).select("_slice", *keys, "_to", "_l", "_h")
+    lent = _null_safe(rows, lends, ["_slice", *keys], "inner")
+    lent = lent.where((F.col(at) >= F.col("_l") - before) & (F.col(at) <= F.col("_h") + after))
+    mine = rows.withColumn("_home", F.lit(True))
+    borrowed = lent.withColumn("_slice", F.col("_to")).withColumn("_home", F.lit(False)).select(*mine.columns)
+    both = mine.unionByName(borrowed)
+    summed = both.withColumns({n: F.sum(inputs[n]).over(frame(["_slice", *keys])) for n in totals}).where("_home")
+    found = summed.select(*keys, at, *totals)
+    return _null_safe(df, found, [*keys, at], "left").drop(*inputs.values())
+
+
+def _null_safe(left: DataFrame, right: DataFrame, on: Sequence[str], how: str) -> DataFrame:
+    """A join on columns of one name that takes null as a value; the left side's columns stay."""
+    renamed = right.select(*[F.col(c).alias(f"_r_{c}") if c in on else F.col(c) for c in right.columns])
+    same = F.lit(True)
+    for c in on:
+        same = same & F.col(c).eqNullSafe(F.col(f"_r_{c}"))
+    joined = left.join(renamed, same, how)
+    return joined.drop(*[f"_r_{c}" for c in on])
+
+
 def quantiles(
     df: DataFrame, keys: Sequence[str], value: str, wanted: Mapping[str, tuple[str, float]]
 ) -> DataFrame:

@@ -51,5 +51,11 @@ def hash_bucket(key: str, buckets: int) -> Column:
     return F.conv(F.substring(F.md5(F.col(key).cast("string")), 1, 8), 16, 10).cast("bigint") % buckets
 
 
+def seeded_sample(df: DataFrame, key: str, share: float, seed: int) -> DataFrame:
+    """Rows drawn by a hash of seed and key: the same ones on every run and partitioning, and other ones for another seed."""
+    drawn = F.conv(F.substring(F.md5(F.concat(F.lit(f"{seed}:"), F.col(key).cast("string"))), 1, 8), 16, 10).cast("bigint")
+    return df.where(drawn < int(share * 2**32))
+
+
 def hash_order(key: str) -> Column:
     return F.md5(F.col(key).cast("string"))

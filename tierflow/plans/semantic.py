@@ -1,17 +1,23 @@
 """Metrics by dimensions: a small model of tables, dimensions, facts and metrics over many-to-one joins.
 
 ``query`` joins only the tables that the named dimensions need, groups by the dimensions and aggregates the
-metrics. Names are unique across the model; columns are given as functions so that a model needs no session.
+metrics. Metrics of several tables are aggregated each at its own grain and only then put side by side, so that no fact is
+counted once for every row of another. A parent joins once for each row of its child: where a parent's key repeats, the
+query is refused, or one row a key is taken if asked. Names are unique across the model; columns are given as functions so
+that a model needs no session.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 
+from tierflow.operators.joining import cardinality_breaches
+
 Expr = Callable[[], Column]
 
 
@@ -98,7 +104,30 @@ class Model:
         return sorted({*m.excluding, m.order_by}) if isinstance(m, WindowMetric) else []
 
 
-def _joined(model: Model, source, base: str, needed: set[str]) -> DataFrame:
+class RepeatedKey(ValueError):
+    """A parent has several rows of one key, so that a join would multiply the rows of its children."""
+
+
+def _parent(model: Model, source, rel: Relationship, repeated: str) -> DataFrame:
+    """The parent's rows, one a key."""
+    from pyspark.sql import functions as F
+
+    rows = model.tables[rel.parent].frame(source)
+    if repeated == "first":
+        # Of the rows of a key the smallest by all its columns, in one aggregation.
+        others = [c for c in rows.columns if c != rel.parent_key]
+        least = rows.groupBy(rel.parent_key).agg(F.min(F.struct(*others)).alias("_row")) if others else rows.distinct()
+        return least.select(rel.parent_key, "_row.*") if others else least
+    if repeated == "trust" and model.tables[rel.parent].primary_key == (rel.parent_key,):
+        return rows
+    # Reads the key column alone; a key that is null joins with nothing and may repeat.
+    keyed = rows.where(F.col(rel.parent_key).isNotNull())
+    if not cardinality_breaches(keyed, [rel.parent_key]).isEmpty():
+        raise RepeatedKey(f"{rel.parent} holds several rows of one {rel.parent_key}; ask with repeated='first' to take one of each")
+    return rows
+
+
+def _joined(model: Model, source, base: str, needed: set[str], repeated: str = "refuse") -> DataFrame:
     """The base table left-joined, along the declared relationships, to every table in ``needed``."""
     from pyspark.sql import functions as F
 
@@ -117,7 +146,7 @@ def _joined(model: Model, source, base: str, needed: set[str]) -> DataFrame:
     for table in sorted(needed, key=lambda n: len(reach[n])):
         for rel in reach[table]:
             if rel.parent not in done:
-                parent = model.tables[rel.parent].frame(source)
+                parent = _parent(model, source, rel, repeated)
                 frame = frame.join(parent, F.col(rel.child_key) == F.col(rel.parent_key), "left")
                 done.add(rel.parent)
     return frame
@@ -134,10 +163,13 @@ def query(
     aliases: Mapping[str, str] | None = None,
     order_by: Sequence[Column] = (),
     limit: int | None = None,
+    repeated: str = "refuse",
 ) -> DataFrame:
     """Dimensions with metrics (grouped) or with facts (row level); output columns in the order they were named.
 
-    ``where`` filters rows on dimension names, those queried or listed in ``where_dimensions``.
+    ``where`` filters rows on dimension names, those queried or listed in ``where_dimensions``. Metrics may belong to several tables;
+    each of these must reach all dimensions, and a metric without rows in a group is null there. ``repeated`` says what
+    to do about a parent with several rows of a key: "refuse" raises ``RepeatedKey``, "first" takes the smallest row, "trust" takes the parent's ``primary_key`` at its word.
     """
     from pyspark.sql import functions as F
 
@@ -167,18 +199,25 @@ def query(
 
     tables = {model.metrics[n].table for n in basic} | {model.facts[f].table for f in rows}
     tables = tables or {model.dimensions[d].table for d in dims[:1]}
-    if len(tables) > 1:
-        raise ValueError(f"one query reads one base table, got {sorted(tables)}")
-    base = tables.pop()
+    if rows and len(tables) > 1:
+        raise ValueError(f"rows are read from one table, got {sorted(tables)}")
     needed = {model.dimensions[d].table for d in [*dims, *filters]}
-    frame = _joined(model, source, base, needed)
-    frame = frame.withColumns({d: model.dimensions[d].expr() for d in [*dims, *filters]}) if dims or filters else frame
-    frame = frame.where(where()) if where else frame
+
+    def read(base: str) -> DataFrame:
+        frame = _joined(model, source, base, needed, repeated)
+        frame = frame.withColumns({d: model.dimensions[d].expr() for d in [*dims, *filters]}) if dims or filters else frame
+        return frame.where(where()) if where else frame
 
     if rows:
-        out = frame.select(*dims, *[model.facts[f].expr().alias(f) for f in rows])
+        out = read(tables.pop()).select(*dims, *[model.facts[f].expr().alias(f) for f in rows])
     elif basic:
-        out = _aggregated(model, frame, dims, basic)
+        grains = {base: [n for n in basic if model.metrics[n].table == base] for base in sorted(tables)}
+        sides = [_aggregated(model, read(base), dims, own) for base, own in grains.items()]
+        out = sides[0]
+        if len(sides) > 1:
+            # Each side has one row a group, so that the largest value is the only one; null groups meet too.
+            every = reduce(lambda x, y: x.unionByName(y, allowMissingColumns=True), sides)
+            out = every.groupBy(*dims).agg(*[F.max(n).alias(n) for n in basic])
         for n in wanted:
             if isinstance(model.metrics[n], Derived):
                 out = out.withColumn(n, model.metrics[n].expr())
@@ -189,7 +228,7 @@ def query(
                 w = W.partitionBy(*by).orderBy(m.order_expr() if m.order_expr else F.col(m.order_by))
                 out = out.withColumn(n, m.expr(F.col(m.metric), w))
     else:
-        out = frame.select(*dims).distinct()
+        out = read(tables.pop()).select(*dims).distinct()
     out = out.select(*[F.col(n).alias(aliases.get(n, n)) for n in [*dims, *rows, *names]])
     out = out.orderBy(*order_by) if order_by else out
     return out.limit(limit) if limit else out
