@@ -14,6 +14,7 @@ from tierflow.plans import domain, layers
 from tierflow.plans.refresh import refresh
 from tierflow.session import work_path
 from tierflow.sources import landing
+from tierflow.sources.versions import VersionedTable
 from tierflow.streaming import feeds
 
 
@@ -319,6 +320,18 @@ def st15_stream(t):
     return merged.withColumn("total", rounded("total", 2))
 
 
+@query(
+    "st15_windows_kept_up",
+    f"""SELECT date_trunc('hour', ts) AS hour, event_type, count(*) AS events, {r('sum(CAST(value AS DECIMAL(15,2)))', 2)} AS total FROM events GROUP BY 1, 2""",
+)
+def st15_kept(t):
+    table = VersionedTable(t.spark, work_path(t.spark, "windows"), ["window_start", "event_type"])
+    change = feeds.fold_windows("ts", ["event_type"], "value", "1 hour")
+    feeds.keep_up(event_stream(t), table, change, work_path(t.spark, "checkpoint")).awaitTermination()
+    found = table.read().select(F.col("window_start").alias("hour"), "event_type", F.col("_rows").alias("events"), "total")
+    return found.withColumn("total", rounded("total", 2))
+
+
 @query(
     "st18_sliding_windows_stream",
     f"""SELECT to_timestamp(w * 900)::TIMESTAMP AS window_start, event_type, count(*) AS events, {r('sum(CAST(value AS DECIMAL(15,2)))', 2)} AS total
@@ -431,6 +444,15 @@ def sc3(t):
     return fan_snapshots(t).select("fan_id", "lifetime_interactions", "valid_from", "valid_to")
 
 
+@query("sc3_segmented_snapshot", SNAP_SPANS)
+def sc3_segmented(t):
+    kept = history.SegmentedHistory(t.spark, work_path(t.spark, "snapshots"), "fan_id", FAN_CHECK)
+    kept.run(fans_until(t, "1998-01-10"), ntz("1998-01-10"))
+    kept.run(fans_until(t, "1998-01-20").where(F.col("first_name") != "BUILDING"), ntz("1998-01-20"))
+    kept.run(fans_until(t, None), ntz("1998-02-01"))
+    return kept.read().select("fan_id", "lifetime_interactions", "valid_from", "valid_to")
+
+
 @query(
     "d16_snapshot_valid",
     f"""WITH spans AS ({SNAP_SPANS})

@@ -13,10 +13,12 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from tierflow.operators.deltas import fold, group_changes, replaced, signed
 from tierflow.operators.merging import add_increment
 from tierflow.operators.picking import top_n
 from tierflow.operators.sessions import sessionize
 from tierflow.sources.landing import file_sizes
+from tierflow.sources.versions import VersionedTable
 
 
 def file_stream(
@@ -102,7 +104,12 @@ def session_partials(batch: DataFrame, key: str, at: str, tie: str, gap_seconds:
 
 
 def merged_sessions(partials: DataFrame, key: str, gap_seconds: int) -> DataFrame:
-    """Sessions of all batches: parts less than the gap apart belong together, wherever their rows came from.
+    """Sessions of all batches by key and session_start, with their number of events (see ``joined_parts``)."""
+    return joined_parts(partials, key, gap_seconds).select(key, F.col("first").alias("session_start"), "events")
+
+
+def joined_parts(partials: DataFrame, key: str, gap_seconds: int) -> DataFrame:
+    """First and last time and events of sessions: parts less than the gap apart belong together, wherever their rows came from.
 
     A part starts a session when the gap lies between it and the end of all parts before it. A key has at most as many
     parts as its time span has gaps, times the batches; the window runs over these, not over events.
@@ -113,7 +120,7 @@ def merged_sessions(partials: DataFrame, key: str, gap_seconds: int) -> DataFram
     reached = partials.withColumn("_reached", before)
     starts = F.col("_reached").isNull() | (micros("first") - micros("_reached") >= gap_seconds * 1_000_000)
     numbered = reached.withColumn("_n", F.sum(starts.cast("long")).over(order.rowsBetween(W.unboundedPreceding, 0)))
-    merged = numbered.groupBy(key, "_n").agg(F.min("first").alias("session_start"), F.sum("events").alias("events"))
+    merged = numbered.groupBy(key, "_n").agg(F.min("first").alias("first"), F.max("last").alias("last"), F.sum("events").alias("events"))
     return merged.drop("_n")
 
 
@@ -127,6 +134,64 @@ def merged_firsts(partials: DataFrame, keys: list[str], order: list[str]) -> Dat
     return first_partials(partials.drop("batch_id"), keys, order)
 
 
+def keep_up(stream: DataFrame, table: VersionedTable, change: Callable[[VersionedTable, DataFrame], None], checkpoint: str) -> StreamingQuery:
+    """Puts each batch into a table with a version log through ``change``; readers find every window, session or key once.
+
+    Where ``maintain`` stores a part a batch, here the batch is merged into what is stored: only files of touched keys are read and
+    rewritten, and old windows stay as they are. A batch that runs again after its commit is not applied twice. One stream
+    writes one table.
+    """
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        named = VersionedTable(table.spark, table.root, table.keys, f"batch {batch_id}")
+        if not named.before()[1]:
+            change(named, batch)
+
+    return _each_batch(stream, checkpoint, write)
+
+
+def fold_windows(at: str, keys: list[str], value: str, width: str, slide: str | None = None):
+    """A change for ``keep_up``: counts and sums of windows, for a table keyed by window_start and ``keys``."""
+
+    def change(table: VersionedTable, batch: DataFrame) -> None:
+        window = F.window(F.col(at).cast("timestamp"), width, slide or width).alias("w")
+        rows = batch.select(window, *keys, F.col(value).alias("value")).withColumn("window_start", F.col("w.start").cast("timestamp_ntz"))
+        fold(table, group_changes(signed(rows), ["window_start", *keys], {"total": (F.col("value"), "decimal(28,2)")}))
+
+    return change
+
+
+def fold_firsts(order: list[str]):
+    """A change for ``keep_up``: the first row of each key of the table by ``order``."""
+
+    def change(table: VersionedTable, batch: DataFrame) -> None:
+        new = first_partials(batch, table.keys, order)
+        if not table.version():
+            table.append(new)
+            return
+        stored = table.rows_at(new)
+        table.upsert(first_partials(stored.unionByName(new.select(*stored.columns)), table.keys, order))
+
+    return change
+
+
+def fold_sessions(key: str, at: str, tie: str, gap_seconds: int):
+    """A change for ``keep_up``: sessions with first, last and events, for a table keyed by ``key`` and first."""
+
+    def change(table: VersionedTable, batch: DataFrame) -> None:
+        new = session_partials(batch, key, at, tie, gap_seconds)
+        if not table.version():
+            table.append(new)
+            return
+        # Sessions of the keys in the batch; a new part may join two of them.
+        who = new.select(F.col(key).alias("_who")).distinct()
+        stored = table.read().join(who, F.col(key).eqNullSafe(F.col("_who")), "left_semi")
+        merged = joined_parts(stored.unionByName(new.select(*stored.columns)), key, gap_seconds)
+        replaced(table, stored.select(*table.keys).union(merged.select(*table.keys)).distinct(), merged.select(*stored.columns))
+
+    return change
+
+
 def unread_files(current: DataFrame, processed: DataFrame) -> DataFrame:
     """Files that no load has recorded yet; empty means nothing to do."""
     return file_sizes(current).select("file").join(processed, "file", "left_anti")
