@@ -166,23 +166,30 @@ def _lookup(model: Model) -> np.ndarray:
     return found
 
 
-def _step(model: Model, start: np.ndarray, state: np.ndarray, codes: np.ndarray, points: np.ndarray) -> np.ndarray:
-    """Four times the next states plus ended phrases; ``start`` is the start state beside each of ``state``."""
-    value = model.table[state + codes].astype(np.int64)
-    rare = np.broadcast_to(codes == 0, state.shape)
-    if rare.any() and len(model.edges):
-        own, begin = state[rare], start[rare]
-        point = np.broadcast_to(points, state.shape)[rare].astype(np.int64)
-
-        def edge(at: np.ndarray) -> np.ndarray:
-            """The state behind the edge from ``at``, or -1."""
-            key = at << 21 | point
-            place = np.minimum(np.searchsorted(model.edges, key), len(model.edges) - 1)
-            return np.where(model.edges[place] == key, model.ends[place], -1)
-
-        on, anew = edge(own), edge(begin)
-        fresh_start = np.where(anew >= 0, anew * 4 + 1, begin * 4 + np.where(own == begin, 1, 2))
-        value[rare] = np.where(on >= 0, on * 4, fresh_start)
+def _step(model: Model, starts: np.ndarray, state: np.ndarray, codes: np.ndarray, points: np.ndarray | None) -> np.ndarray:
+    """Four times the next states plus ended phrases, for states of one row a language or of one row in all.
+
+    ``starts`` are the start states in the shape of ``state`` or one a row. ``points`` are the code points, None where no code is 0.
+    """
+    value = model.table[state + codes]
+    if points is None:
+        return value
+    rare = np.flatnonzero(codes == 0)
+    if not len(rare) or not len(model.edges):
+        return value
+    value = value.astype(np.int64)
+    own, point = state[..., rare], points[rare].astype(np.int64)
+    begin = np.broadcast_to(starts, state.shape)[..., rare]
+
+    def edge(at: np.ndarray) -> np.ndarray:
+        """The state behind the edge from ``at``, or -1."""
+        key = at << 21 | point
+        place = np.minimum(np.searchsorted(model.edges, key), len(model.edges) - 1)
+        return np.where(model.edges[place] == key, model.ends[place], -1)
+
+    on, anew = edge(own), edge(begin)
+    fresh_start = np.where(anew >= 0, anew * 4 + np.where(own == begin, 0, 1), begin * 4 + np.where(own == begin, 1, 2))
+    value[..., rare] = np.where(on >= 0, on * 4, fresh_start)
     return value
 
 
@@ -204,38 +211,44 @@ def phrases(model: Model, lookup: np.ndarray, texts: list[str]) -> tuple[np.ndar
     begin = np.repeat(np.cumsum(lengths) - lengths, pieces) + nth * PIECE
     size = np.minimum(PIECE, lengths[doc] - nth * PIECE)
 
-    # Every piece from the start state, side by side, with its state and phrases so far at every character.
+    # Every piece from the start state, side by side; with its states and phrases so far where a text has several pieces.
     order = np.argsort(-size, kind="stable")
-    start = np.repeat(model.starts[:, None], len(doc), axis=1)
-    ordered, count = start.copy(), np.zeros(start.shape, dtype=np.int64)
+    steps = int(size.max()) if len(size) else 0
+    active = np.searchsorted(-size[order], -np.arange(steps), side="left")
+    state = np.repeat(model.starts[:, None], len(doc), axis=1)
+    count = np.zeros(state.shape, dtype=np.int32)
     several = bool((pieces > 1).any())
-    trail = np.zeros((2, len(model.starts), len(codes)), dtype=np.int32) if several else None
-    active = np.searchsorted(-size[order], -np.arange(size.max() if len(size) else 0), side="left")
+    trail = np.zeros((2 if several else 0, steps, *state.shape), dtype=np.int32)
+    known = joined if len(codes) and not codes.all() else None
     at = begin[order]
     for t, n in enumerate(active):
         here = at[:n] + t
-        value = _step(model, start[:, :n], ordered[:, :n], codes[here], joined[here])
-        count[:, :n] += value & 3
-        ordered[:, :n] = value >> 2
+        value = _step(model, model.starts[:, None], state[:, :n], codes[here], known if known is None else known[here])
+        count[:, :n] += (value & 3).astype(np.int32)
+        state[:, :n] = value >> 2
         if several:
-            trail[0][:, here] = ordered[:, :n]
-            trail[1][:, here] = count[:, :n]
-    exit_state, total = np.empty_like(ordered), np.empty_like(count)
-    exit_state[:, order], total[:, order] = ordered, count
+            trail[0, t, :, :n] = state[:, :n]
+            trail[1, t, :, :n] = count[:, :n]
+    exit_state, total = np.empty_like(state), np.empty(state.shape, np.int64)
+    exit_state[:, order], total[:, order] = state, count
     if several:
-        _carry(model, codes, joined, begin, size, np.flatnonzero(nth > 0), pieces[doc] > nth + 1, trail, exit_state, total)
+        place = np.empty(len(order), np.int64)
+        place[order] = np.arange(len(order))
+        _carry(model, codes, known, begin, size, np.flatnonzero(nth > 0), pieces[doc] > nth + 1, (trail, place), exit_state, total)
     last = np.flatnonzero(pieces[doc] == nth + 1)
     total[:, last] += exit_state[:, last] != model.starts[:, None]
     found = np.stack([np.bincount(doc, weights=row, minlength=len(texts)).astype(np.int64) for row in total])
     return found, lengths
 
 
-def _carry(model, codes, points, begin, size, later, has_next, trail, exit_state, total) -> None:
+def _carry(model, codes, points, begin, size, later, has_next, cold, exit_state, total) -> None:
     """Corrects exit states and phrases of the pieces ``later`` for the state that the piece before them hands on.
 
     A corrected parse is followed until it meets the one from the start state, which mostly takes a phrase or two; where it does
-    not meet it before the end of the piece, the next piece is corrected again.
+    not meet it before the end of the piece, the next piece is corrected again. ``cold`` are the states and phrases of the parses from
+    the start by step, language and place, and the place of each piece there.
     """
+    (states, counts), place = cold
     cold_exit, cold_total = exit_state.copy(), total.copy()
     lang, piece = (x.ravel() for x in np.meshgrid(np.arange(len(model.starts)), later, indexing="ij"))
     while len(piece):
@@ -248,16 +261,17 @@ def _carry(model, codes, points, begin, size, later, has_next, trail, exit_state
         while len(going):
             k, p = lang[going], piece[going]
             here = begin[p] + t
-            value = _step(model, model.starts[k], state[going], codes[here], points[here])
+            value = _step(model, model.starts[k], state[going], codes[here], points if points is None else points[here])
             n[going] += value & 3
             state[going] = value >> 2
-            met, ended = trail[0][k, here] == state[going], t + 1 == size[p]
+            met, ended = states[t, k, place[p]] == state[going], t + 1 == size[p]
             done = met | ended
-            ks, ps, ns = k[done], p[done], n[going][done]
-            exit_state[ks, ps] = state[going][done]
-            total[ks, ps] = np.where(met[done], ns + cold_total[ks, ps] - trail[1][ks, here[done]], ns)
-            exit_state[ks[met[done]], ps[met[done]]] = cold_exit[ks[met[done]], ps[met[done]]]
-            going, t = going[~done], t + 1
+            if done.any():
+                ks, ps, ns, ms = k[done], p[done], n[going][done], met[done]
+                total[ks, ps] = np.where(ms, ns + cold_total[ks, ps] - counts[t, ks, place[ps]], ns)
+                exit_state[ks, ps] = np.where(ms, cold_exit[ks, ps], state[going][done])
+                going = going[~done]
+            t += 1
         moved = (exit_state[lang, piece] != before) & has_next[piece]
         lang, piece = lang[moved], piece[moved] + 1
 
