@@ -56,10 +56,9 @@ def test_the_quick_look_leaves_no_match_out():
         words = [word() for _ in range(r.randint(1, 300))] + [w for w in item if r.random() < 0.8] + [word() for _ in range(r.randint(0, 300))]
         vocabulary = {w: n for n, w in enumerate(sorted(set(item)))}
         numbers = decontam.np.array([vocabulary.get(w, len(vocabulary)) for w in words])
-        flags = decontam.np.ones((1, len(vocabulary) + 1), dtype=bool)
-        flags[0, -1] = False
-        model = decontam.Model((decontam.Item(0, item, ()),), vocabulary, None, None, None, flags)
+        flags = decontam.np.append(decontam.np.ones(len(vocabulary), dtype=bool), False)
+        model = decontam.Model((decontam.Item(0, item, ()),), vocabulary, None, None, None, None, (decontam.np.arange(len(vocabulary)),))
         one, two = decontam.np.array([0]), decontam.np.array([0, len(words)])
-        best = decontam.check(model.items[0], flags[0], words, numbers, 0, len(words), 0.0)[0]
+        best = decontam.check(model.items[0], flags[numbers], words, 0, len(words), 0.0)[0]
         assert decontam.may_hold(model, one, one, numbers, two, best)[0]
-        assert decontam.check(model.items[0], flags[0], words, numbers, 0, len(words), best)[0] == best
+        assert decontam.check(model.items[0], flags[numbers], words, 0, len(words), best)[0] == best

@@ -2,8 +2,9 @@
 
 Reference passages (stretches of the benchmark items) become TF-IDF vectors, with document frequencies counted over the
 whole corpus. A randomised SVD, whose products with the passages are computed by Spark tasks and summed, gives a space of
-few dimensions that tells the passages apart. Every text is read in overlapping windows; a window whose projection lies
-close to that of a passage (cosine) is a candidate. Candidates are checked on the words themselves: the longest common
+few dimensions that tells the passages apart. Every text is read in overlapping windows, and for items shorter than such a
+window in shorter ones too, which do not dilute them; a window whose projection lies close to that of a passage (cosine) is a
+candidate. Candidates are checked on the words themselves: the longest common
 subsequence with the item inside a stretch little longer than the item, and, for looser matches, whether the item's
 answer stands there too.
 
@@ -30,10 +31,16 @@ from tierflow.llm.base import prepare
 BLOCK = 32
 #: Words of a reference passage, and words from one to the next.
 PASSAGE, STRIDE = 64, 32
+#: Words of a part; windows for short items begin with every part. Items of up to so many words have windows of so many parts,
+#: the fewest that hold them wherever they begin.
+PART = 8
+SHORT = {8: 2, 16: 3, 32: 5}
 #: Reference words worked on in one pass over the corpus; a larger reference takes several passes.
 SLICE_WORDS = 100_000
-#: Blocks whose words are projected at a time.
-_TOGETHER = 64
+#: Share of a short passage's length that a window must reach in its direction.
+REACH = 0.7
+#: Blocks whose words are projected, and windows that are compared, at a time.
+_TOGETHER, _WINDOWS = 64, 8192
 
 #: By byte: ASCII letters, digits and bytes of other characters stay, all else is a space.
 _WORDS = bytes(c if c >= 128 or chr(c).isalnum() else 32 for c in range(256))
@@ -58,15 +65,23 @@ class Model:
     """What tasks need to find one slice of the reference.
 
     ``vocabulary`` numbers the reference words; ``basis`` has a row for each, weighted by idf, and a row of zeros for all
-    other words. ``passages`` are the unit projections, ``owner`` the item of each. ``flags`` marks the words of each item.
+    other words. ``passages`` are the unit projections, ``norms`` their lengths before, ``owner`` the item of each. ``ids`` numbers the words of each item.
     """
 
     items: tuple[Item, ...]
     vocabulary: dict[bytes, int]
     basis: np.ndarray
     passages: np.ndarray
+    norms: np.ndarray
     owner: np.ndarray
-    flags: np.ndarray
+    ids: tuple[np.ndarray, ...]
+
+    def marks(self, item: int, numbers: np.ndarray, scratch: np.ndarray) -> np.ndarray:
+        """Whether each word is one of the item's; ``scratch`` is a row of False over the vocabulary, left as it was."""
+        scratch[self.ids[item]] = True
+        found = scratch[numbers]
+        scratch[self.ids[item]] = False
+        return found
 
 
 def document_frequencies(docs: DataFrame, text_col: str, vocabulary: dict[bytes, int]) -> tuple[np.ndarray, int]:
@@ -159,10 +174,8 @@ def fit(docs: DataFrame, items: list[Item], text_col: str = "text", rank: int =
     projected = np.array([basis[[vocabulary[w] for w in words]].sum(axis=0) for _, words in passages], dtype=np.float32)
     norms = np.linalg.norm(projected, axis=1)
     unit = projected / np.where(norms > 0, norms, 1)[:, None]
-    flags = np.zeros((len(items), len(vocabulary) + 1), dtype=bool)
-    for n, item in enumerate(items):
-        flags[n, [vocabulary[w] for w in item.words]] = True
-    return Model(tuple(items), vocabulary, basis, unit, np.array([n for n, _ in passages]), flags)
+    ids = tuple(np.array(sorted({vocabulary[w] for w in item.words}), dtype=np.int32) for item in items)
+    return Model(tuple(items), vocabulary, basis, unit, norms, np.array([n for n, _ in passages]), ids)
 
 
 def common_subsequence(item: tuple[bytes, ...], region: list[bytes]) -> int:
@@ -179,17 +192,17 @@ def common_subsequence(item: tuple[bytes, ...], region: list[bytes]) -> int:
     return len(item) - row.bit_count()
 
 
-def check(item: Item, flags: np.ndarray, words: list[bytes], numbers: np.ndarray, low: int, high: int, least: float) -> tuple[float, int, bool]:
+def check(item: Item, marks: np.ndarray, words: list[bytes], low: int, high: int, least: float) -> tuple[float, int, bool]:
     """The best share of the item in a stretch of 1.25 times its length between ``low`` and ``high``, where that
     begins, and whether the answer stands there word for word.
 
-    ``flags`` marks the item's words. A stretch that holds too few of them for ``least`` is not compared.
+    ``marks`` tells the item's words between the two. A stretch that holds too few of them for ``least`` is not compared.
     """
     size = len(item.words)
     length, step = size + size // 4 + 1, max(1, size // 8)
     if common_subsequence(item.words, words[low : max(high + step, low + length)]) < least * size:
         return 0.0, low, False  # no stretch of it shares more
-    upto = np.concatenate([[0], np.cumsum(flags[numbers[low:high]])])
+    upto = np.concatenate([[0], np.cumsum(marks)])
     begin = np.arange(0, max(1, high - low - length + step), step)
     held = upto[np.minimum(len(upto) - 1, begin + length)] - upto[begin]
     best, start, answered = 0.0, low, False
@@ -208,34 +221,68 @@ def _stands(answer: tuple[bytes, ...], region: list[bytes]) -> bool:
     return n > 0 and any(tuple(region[k : k + n]) == answer for k in range(len(region) - n + 1))
 
 
-def _windows(model: Model, numbers: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Projections of all windows of some texts, the text of each, and the block where it begins."""
-    blocks = np.array([-(-len(x) // BLOCK) for x in numbers])
-    first = np.cumsum(blocks) - blocks
-    padded = np.full(int(blocks.sum()) * BLOCK, len(model.vocabulary), dtype=np.int32)
-    for x, at in zip(numbers, (first * BLOCK).tolist()):
-        padded[at : at + len(x)] = x
-    padded = padded.reshape(-1, BLOCK)
-    summed = np.empty((len(padded), model.basis.shape[1]), dtype=np.float32)
-    for at in range(0, len(padded), _TOGETHER):
-        model.basis[padded[at : at + _TOGETHER]].sum(axis=1, out=summed[at : at + _TOGETHER])
-    per_text = np.where(blocks > 0, np.maximum(1, blocks - 1), 0)
-    text = np.repeat(np.arange(len(numbers)), per_text)
-    nth = np.arange(len(text)) - np.repeat(np.cumsum(per_text) - per_text, per_text)
-    low = first[text] + nth
-    windows = summed[low]
-    second = blocks[text] > 1
-    windows[second] += summed[low[second] + 1]
-    return windows, text, nth
+@dataclass(frozen=True)
+class Windows:
+    """Projections of windows, the text of each, the word where it begins, and the words and passages it is meant for."""
+
+    projections: np.ndarray
+    text: np.ndarray
+    begin: np.ndarray
+    words: int
+    passages: np.ndarray
 
 
-def candidates(model: Model, windows: np.ndarray, cosine: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(window, passage, cosine) of the windows near a passage, however little of its weight they hold."""
-    product = windows @ model.passages.T
-    norms = np.linalg.norm(windows, axis=1, keepdims=True)
-    near = (product >= cosine * norms) & (norms > 1e-6)
-    window, passage = np.nonzero(near)
-    return window, passage, product[window, passage] / norms[window, 0]
+def _spans(parts: np.ndarray, first: np.ndarray, counts: np.ndarray, span: int, step: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Sums of ``span`` parts from every ``step``-th part of each text: (sums, text, part); a text has one at least."""
+    per_text = np.where(counts > 0, np.maximum(1, -(-(counts - span) // step) + 1), 0)
+    text = np.repeat(np.arange(len(counts)), per_text)
+    nth = (np.arange(len(text)) - np.repeat(np.cumsum(per_text) - per_text, per_text)) * step
+    low = first[text] + nth
+    sums = parts[low].copy()
+    for k in range(1, span):
+        within = nth + k < counts[text]
+        sums[within] += parts[low[within] + k]
+    return sums, text, nth
+
+
+def _windows(model: Model, numbers: list[np.ndarray]) -> Iterator[Windows]:
+    """All windows of some texts: those of two blocks for every passage, and shorter ones for the passages of short items."""
+    each = BLOCK // PART
+    counts = np.array([-(-len(x) // BLOCK) for x in numbers]) * each
+    first = np.cumsum(counts) - counts
+    padded = np.full(int(counts.sum()) * PART, len(model.vocabulary), dtype=np.int32)
+    for x, at in zip(numbers, (first * PART).tolist()):
+        padded[at : at + len(x)] = x
+    padded = padded.reshape(-1, PART)
+    parts = np.empty((len(padded), model.basis.shape[1]), dtype=np.float32)
+    for at in range(0, len(padded), _TOGETHER * each):
+        model.basis[padded[at : at + _TOGETHER * each]].sum(axis=1, out=parts[at : at + _TOGETHER * each])
+    blocks = parts.reshape(-1, each, parts.shape[1]).sum(axis=1)
+    sums, text, nth = _spans(blocks, first // each, counts // each, 2, 1)
+    yield Windows(sums, text, nth * BLOCK, 2 * BLOCK, np.arange(len(model.owner)))
+    sizes, least = np.array([len(item.words) for item in model.items])[model.owner], 0
+    for most, span in SHORT.items():
+        chosen = np.flatnonzero((sizes > least) & (sizes <= most))
+        least = most
+        if len(chosen):
+            sums, text, nth = _spans(parts, first, counts, span, 1)
+            yield Windows(sums, text, nth * PART, span * PART, chosen)
+
+
+def candidates(model: Model, windows: Windows, low: int, cosine: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(window, passage, cosine) of the windows from ``low`` on near a passage, however little of its weight they hold.
+
+    A window that holds a short passage whole may point elsewhere for its other words, above all where the space is too small for
+    all passages; it still reaches about as far in the passage's direction as the passage itself, and is a candidate by that.
+    """
+    some, passages = windows.projections[low : low + _WINDOWS], model.passages[windows.passages]
+    product = some @ passages.T
+    norms = np.linalg.norm(some, axis=1, keepdims=True)
+    near = product >= cosine * norms
+    if windows.words < 2 * BLOCK:
+        near |= product >= REACH * model.norms[windows.passages][None, :]
+    window, passage = np.nonzero(near & (norms > 1e-6))
+    return low + window, windows.passages[passage], product[window, passage] / norms[window, 0]
 
 
 def may_hold(model: Model, item: np.ndarray, text: np.ndarray, numbers: np.ndarray, starts: np.ndarray, least: float) -> np.ndarray:
@@ -244,7 +291,7 @@ def may_hold(model: Model, item: np.ndarray, text: np.ndarray, numbers: np.ndarr
     ``item`` and ``text`` are pairs; a text is ``numbers`` from its place in ``starts`` to the next. All pairs of an item
     are looked at together. No pair is left out that ``check`` would accept.
     """
-    held = np.zeros(len(item), dtype=bool)
+    held, scratch = np.zeros(len(item), dtype=bool), np.zeros(len(model.vocabulary) + 1, dtype=bool)
     for i in np.unique(item).tolist():
         at = np.flatnonzero(item == i)
         size = len(model.items[i].words)
@@ -253,7 +300,7 @@ def may_hold(model: Model, item: np.ndarray, text: np.ndarray, numbers: np.ndarr
         sizes = high - low
         first = np.cumsum(sizes) - sizes
         place = np.arange(int(sizes.sum())) - np.repeat(first, sizes) + np.repeat(low, sizes)
-        upto = np.concatenate([[0], np.cumsum(model.flags[i][numbers[place]])])
+        upto = np.concatenate([[0], np.cumsum(model.marks(i, numbers[place], scratch))])
         begin = np.arange(len(place))
         end = np.minimum(begin + length, np.repeat(first + sizes, sizes))
         held[at] = np.maximum.reduceat(upto[end] - upto[begin], first) >= least * size
@@ -265,6 +312,7 @@ def search(model: Model, texts: list[str | None], cosine: float, share: float, l
     found: list[dict[int, tuple]] = [{} for _ in texts]
     get, other = model.vocabulary.get, len(model.vocabulary)
     least = min(share, loose)
+    scratch = np.zeros(len(model.vocabulary) + 1, dtype=bool)
     at = 0
     while at < len(texts):
         split, total, end = [], 0, at
@@ -273,20 +321,19 @@ def search(model: Model, texts: list[str | None], cosine: float, share: float, l
             total += len(split[-1])
             end += 1
         numbers = [np.fromiter(map(get, words, repeat(other)), dtype=np.int32, count=len(words)) for words in split]
-        windows, text, nth = _windows(model, numbers)
         joined, starts = np.concatenate(numbers), np.cumsum([0, *map(len, numbers)])
-        for k in range(0, len(windows), 8192):
-            window, passage, near = candidates(model, windows[k : k + 8192], cosine)
-            owner, of = model.owner[passage], text[k + window]
+        for windows, k in ((w, k) for w in _windows(model, numbers) for k in range(0, len(w.projections), _WINDOWS)):
+            window, passage, cosines = candidates(model, windows, k, cosine)
+            owner, of, begin = model.owner[passage], windows.text[window], windows.begin[window]
             pairs, which = np.unique(of * len(model.items) + owner, return_inverse=True)
             held = may_hold(model, pairs % len(model.items), pairs // len(model.items), joined, starts, least)[which]
-            for n, i, block, value in zip(*(x[held].tolist() for x in (of, owner, nth[k + window], near))):
+            for n, i, first, value in zip(*(x[held].tolist() for x in (of, owner, begin, cosines))):
                 if i in found[at + n] and found[at + n][i][2] == 1:
                     continue
                 item, words = model.items[i], split[n]
-                low = max(0, block * BLOCK - len(item.words))
-                high = min(len(words), (block + 2) * BLOCK + len(item.words))
-                common, start, answered = check(item, model.flags[i], words, numbers[n], low, high, least)
+                low = max(0, first - len(item.words))
+                high = min(len(words), first + windows.words + len(item.words))
+                common, start, answered = check(item, model.marks(i, numbers[n][low:high], scratch), words, low, high, least)
                 if common >= share or (common >= loose and answered):
                     old = found[at + n].get(i)
                     if old is None or (common, -start) > (old[2], -old[4]):
