@@ -247,7 +247,7 @@ def t3(t):
     ORDER BY list_cosine_similarity(CAST(embedding AS DOUBLE[]), v) DESC, vec_id LIMIT 10""",
 )
 def t4(t):
-    wanted = t.embeddings.where(F.col("vec_id") == 0).select("embedding").scalar()
+    wanted = t.embeddings.where(F.col("vec_id") == 0).first()["embedding"]
     found = texts.most_similar(t.embeddings, "embedding", wanted, 10, "vec_id")
     return found.select("vec_id", rounded("similarity", 6).alias("similarity"))
 

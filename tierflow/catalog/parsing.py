@@ -55,7 +55,8 @@ def p2(t):
     {r('gross_usd', 4)} AS gross_usd FROM box""",
 )
 def p3(t):
-    typed = C.parse_variant(as_raw(domain.box_office(t), BOX_FIELDS), "raw_data", BOX_FIELDS)
+    rows = domain.spread(domain.box_office(t), t.lineitem)
+    typed = C.parse_variant(as_raw(rows, BOX_FIELDS), "raw_data", BOX_FIELDS)
     return typed.withColumns({"gross_local": rounded("gross_local", 2), "gross_usd": rounded("gross_usd", 4)})
 
 

@@ -15,15 +15,8 @@ from pyspark.sql import functions as F
 from tierflow.operators.ordered import running_totals
 
 
-#: Spark limits groups before the shuffle only up to this setting's number of rows.
-_GROUP_LIMIT = "spark.sql.optimizer.windowGroupLimitThreshold"
-
-
 def top_n(df: DataFrame, keys: Sequence[str], order: Sequence[Column], n: int, rank: str | None = None) -> DataFrame:
-    """The first ``n`` rows of each key, also for an ``n`` beyond Spark's usual group limit."""
-    conf = df.sparkSession.conf
-    if n >= int(conf.get(_GROUP_LIMIT)):
-        conf.set(_GROUP_LIMIT, str(n + 1))
+    """The first ``n`` rows of each key. Groups are limited before the shuffle for any ``n`` up to the session's limit (``session.tune``)."""
     name = rank or "_rn"
     w = W.partitionBy(*keys).orderBy(*order)
     out = df.withColumn(name, F.row_number().over(w)).where(F.col(name) <= n)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -33,7 +35,11 @@ def segments(df: DataFrame, transcript: str) -> DataFrame:
     )
 
 
-def most_similar(df: DataFrame, vector: str, wanted: Column, k: int, tie: str) -> DataFrame:
-    """The ``k`` rows closest to one query vector."""
-    scored = df.withColumn("_q", wanted).withColumn("similarity", cosine(vector, "_q")).drop("_q")
+def most_similar(df: DataFrame, vector: str, wanted: Column | Sequence[float], k: int, tie: str) -> DataFrame:
+    """The ``k`` rows closest to one query vector; its numbers are folded into the plan where they are given as such."""
+    if not isinstance(wanted, Column):
+        asked = F.array(*[F.lit(float(x)) for x in wanted])
+        scored = df.withColumn("similarity", cosine(vector, asked))
+    else:
+        scored = df.withColumn("_q", wanted).withColumn("similarity", cosine(vector, "_q")).drop("_q")
     return scored.orderBy(F.desc("similarity"), tie).limit(k)

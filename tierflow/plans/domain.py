@@ -74,6 +74,15 @@ def since_date(df: DataFrame, at: str, since: date | None, shift_days: int = 0)
     return df.where(F.col(at) >= F.lit(since + timedelta(days=shift_days)).cast("timestamp_ntz"))
 
 
+def spread(df: DataFrame, scan: DataFrame) -> DataFrame:
+    """``df`` over all cores where the scan it comes from has fewer splits than there are cores, for work that is heavy by the row.
+
+    A scan of many splits, as any large table is, stays as it is.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if scan.rdd.getNumPartitions() < cores else df
+
+
 FAN_COLUMNS = [
     "interaction_id", "account_type", "fan_id", "session_id", "email", "first_name", "last_name", "region", "country_code",
     "event_type", "event_ts", "title_id", "device_type", "value",

@@ -108,23 +108,26 @@ class RepeatedKey(ValueError):
     """A parent has several rows of one key, so that a join would multiply the rows of its children."""
 
 
-def _parent(model: Model, source, rel: Relationship, repeated: str) -> DataFrame:
-    """The parent's rows, one a key."""
+def _parents(model: Model, source, rels: Sequence[Relationship], repeated: str) -> dict[str, DataFrame]:
+    """The rows of the parents, one a key; all keys are checked in one job that reads the key columns."""
     from pyspark.sql import functions as F
 
-    rows = model.tables[rel.parent].frame(source)
-    if repeated == "first":
-        # Of the rows of a key the smallest by all its columns, in one aggregation.
-        others = [c for c in rows.columns if c != rel.parent_key]
-        least = rows.groupBy(rel.parent_key).agg(F.min(F.struct(*others)).alias("_row")) if others else rows.distinct()
-        return least.select(rel.parent_key, "_row.*") if others else least
-    if repeated == "trust" and model.tables[rel.parent].primary_key == (rel.parent_key,):
-        return rows
-    # Reads the key column alone; a key that is null joins with nothing and may repeat.
-    keyed = rows.where(F.col(rel.parent_key).isNotNull())
-    if not cardinality_breaches(keyed, [rel.parent_key]).isEmpty():
-        raise RepeatedKey(f"{rel.parent} holds several rows of one {rel.parent_key}; ask with repeated='first' to take one of each")
-    return rows
+    found, breaches = {}, []
+    for rel in rels:
+        rows, key = model.tables[rel.parent].frame(source), rel.parent_key
+        if repeated == "first":
+            # Of the rows of a key the smallest by all its columns, in one aggregation.
+            others = [c for c in rows.columns if c != key]
+            least = rows.groupBy(key).agg(F.min(F.struct(*others)).alias("_row")) if others else rows.distinct()
+            rows = least.select(key, "_row.*") if others else least
+        elif repeated == "refuse" or model.tables[rel.parent].primary_key != (key,):
+            # A key that is null joins with nothing and may repeat.
+            twice = cardinality_breaches(rows.where(F.col(key).isNotNull()), [key])
+            breaches.append(twice.limit(1).select(F.lit(rel.parent).alias("parent"), F.lit(key).alias("key")))
+        found[rel.parent] = rows
+    for row in reduce(DataFrame.unionByName, breaches).collect() if breaches else ():
+        raise RepeatedKey(f"{row.parent} holds several rows of one {row.key}; ask with repeated='first' to take one of each")
+    return found
 
 
 def _joined(model: Model, source, base: str, needed: set[str], repeated: str = "refuse") -> DataFrame:
@@ -142,13 +145,11 @@ def _joined(model: Model, source, base: str, needed: set[str], repeated: str = "
     missing = needed - set(reach)
     if missing:
         raise ValueError(f"{sorted(missing)} cannot be reached from {base}")
-    frame, done = model.tables[base].frame(source), {base}
-    for table in sorted(needed, key=lambda n: len(reach[n])):
-        for rel in reach[table]:
-            if rel.parent not in done:
-                parent = _parent(model, source, rel, repeated)
-                frame = frame.join(parent, F.col(rel.child_key) == F.col(rel.parent_key), "left")
-                done.add(rel.parent)
+    path = list(dict.fromkeys(rel for table in sorted(needed, key=lambda n: len(reach[n])) for rel in reach[table]))
+    parents = _parents(model, source, path, repeated)
+    frame = model.tables[base].frame(source)
+    for rel in path:
+        frame = frame.join(parents[rel.parent], F.col(rel.child_key) == F.col(rel.parent_key), "left")
     return frame
 
 

@@ -23,6 +23,8 @@ _RUNTIME_CONF = {
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     # An aggregate or window is not run on a partitioning by some of its keys only: one of them may be hot.
     "spark.sql.requireAllClusterKeysForDistribution": "true",
+    # The first n rows of a key are taken before the shuffle for any n that a task can sort.
+    "spark.sql.optimizer.windowGroupLimitThreshold": "10000000",
     # Session windows are merged on the map side before their key is shuffled.
     "spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition": "true",
 }
