@@ -15,7 +15,8 @@ from tierflow.llm.base import stored, table
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drops documents without a recognisable language; fills missing labels in."""
+    """Drops documents without a recognisable language (null and empty texts among them); fills missing labels in and replaces
+    labels that the text clearly contradicts."""
     return langid.accepted(docs, langid.fit(docs))
 
 
