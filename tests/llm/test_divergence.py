@@ -80,7 +80,13 @@ def test_walk_prices_empty_quadrants_by_width():
             width = int(r.integers(1, side + 1))
             left[:, width:] = right[:, width:] = 0
             p, q = np.where(left > 0, left, p0[:, None])[:, None, :width], np.where(right > 0, right, q0[:, None])[None, :, :width]
-            assert (divergence.walk(left, right, p0, q0, width) == ((p - q) ** 2 // (p + q)).sum(axis=2)).all()
+            want = ((p - q) ** 2 // (p + q)).sum(axis=2)
+            assert (divergence.walk(left, right, p0, q0, width) == want).all()
+            rows, columns = (int(r.integers(1, side + 1)) for _ in range(2))  # the rest is padding
+            left[rows:], p0[rows:], right[columns:], q0[columns:] = 0, 0, 0, 0
+            for upper in (False, True):
+                got = divergence.walk(left, right, p0, q0, width, upper)[:rows, :columns]
+                assert (np.triu(got - want[:rows, :columns]) == 0).all() if upper else (got == want[:rows, :columns]).all()
 
 
 def test_quadtree_levels():

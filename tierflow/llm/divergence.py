@@ -34,13 +34,21 @@ def group_term_counts(docs: DataFrame, group: str, source: str, text: str) -> Da
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         found: dict[tuple, tuple[Counter, Counter]] = {}
+        kinds = [pa.string()] * 3 + [pa.int64()] * 2
 
         def drained() -> pa.RecordBatch:
-            rows = [(g, s, t.decode("utf-8", "replace"), n, inside[t]) for (g, s), (total, inside) in found.items() for t, n in total.items()]
+            parts: list[list[pa.Array]] = [[pa.array([], k)] for k in kinds]
+            for (g, s), (total, inside) in found.items():
+                terms = [*total]
+                columns = (
+                    pa.repeat(pa.scalar(g, pa.string()), len(terms)), pa.repeat(pa.scalar(s, pa.string()), len(terms)),
+                    pa.array(terms, pa.binary()).cast(pa.string()), pa.array([*total.values()], pa.int64()),
+                    pa.array([inside[t] for t in terms], pa.int64()),
+                )
+                for part, column in zip(parts, columns):
+                    part.append(column)
             found.clear()
-            lists = list(zip(*rows)) if rows else [[]] * 5
-            kinds = [pa.string()] * 3 + [pa.int64()] * 2
-            return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(lists, kinds)], ["lang", "source", "term", "n", "docs"])
+            return pa.RecordBatch.from_arrays([pa.concat_arrays(p) for p in parts], ["lang", "source", "term", "n", "docs"])
 
         for batch in batches:
             for g, s, t in zip(*(c.to_pylist() for c in batch.columns)):
@@ -73,9 +81,13 @@ def quadtree(filled: np.ndarray) -> list[np.ndarray]:
     return levels
 
 
-def walk(left: np.ndarray, right: np.ndarray, p0: np.ndarray, q0: np.ndarray, width: int) -> np.ndarray:
-    """Summed prices of all row pairs of two squares (0: no count, priced at p0 and q0) over the first ``width`` columns."""
-    side = len(left)
+def walk(left: np.ndarray, right: np.ndarray, p0: np.ndarray, q0: np.ndarray, width: int, upper: bool = False) -> np.ndarray:
+    """Summed prices of all row pairs of two squares (0: no count, priced at p0 and q0) over the first ``width`` columns.
+
+    Rows from the first with a price of 0 on are padding and are not visited; with ``upper`` only pairs with the smaller row on
+    the left are sure to be complete.
+    """
+    side, rows = len(left), [int((x > 0).sum()) for x in (p0, q0)]
     trees = quadtree(left > 0), quadtree(right > 0)
     empty = np.zeros((side, side), np.int64)  # columns of each row pair that are zero on both sides
     a, b, c = (np.zeros(1, np.int64) for _ in range(3))
@@ -91,6 +103,10 @@ def walk(left: np.ndarray, right: np.ndarray, p0: np.ndarray, q0: np.ndarray, wi
         if level + 1 < len(trees[0]):
             parts = [(a * 2 + i, b * 2 + j, c * 2 + k) for i in (0, 1) for j in (0, 1) for k in (0, 1)]
             a, b, c = (np.concatenate(p) for p in zip(*parts))
+            real = (a * (size // 2) < rows[0]) & (b * (size // 2) < rows[1])
+            if upper:
+                real &= a <= b
+            a, b, c = a[real], b[real], c[real]
     p, q = left[a, c], right[b, c]
     p, q = np.where(p > 0, p, p0[a]), np.where(q > 0, q, q0[b])
     value = np.zeros(side * side, np.int64)
@@ -122,7 +138,7 @@ def _price(side: int):
                 square = np.zeros((side, side), np.int64)
                 square[g[low:high][mine] % side, col[low:high][mine] - at] = p[low:high][mine]
                 squares[tile] = square
-            total += walk(squares[i], squares[j], heads[i], heads[j], min(side, width - at))
+            total += walk(squares[i], squares[j], heads[i], heads[j], min(side, width - at), upper=i == j)
         a, b = np.nonzero((heads[i] > 0)[:, None] & (heads[j] > 0)[None, :])
         first, second = a + i * side, b + j * side
         ahead = first < second
