@@ -313,7 +313,8 @@ def language_column(model: Model, text: Column, docs: DataFrame) -> Column:
             langs, scores = predict(shared.value, lookup, texts.to_pylist())
             yield pa.StructArray.from_arrays([pa.array(langs, pa.string()), pa.array(scores, pa.float64())], ["lang_pred", "score"])
 
-    return of(text)
+    # Not to be run again for a filter on its result.
+    return of.asNondeterministic()(text)
 
 
 def with_language(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
