@@ -156,35 +156,53 @@ def over_range(
     """Adds sums over the rows of the key whose whole-numbered ``at`` lies from ``before`` back to ``after`` ahead.
 
     The keyed RANGE frame of SQL: rows of equal ``at`` share their frame, and a null ``at`` sees the other nulls of its key. Any sum
-    is null where the frame holds no value. A hot key is first summed per ``at``; its rows are cut into even slices in
-    order, and each slice borrows from the slices around it the sums that lie within the frame. Frames wider than a slice
-    borrow from as many slices as they reach, so no task holds a whole key unless the frame does.
+    is null where the frame holds no value.
+
+    Time is cut into blocks as long as the frame. A frame then ends in one block and begins in the one before it, so that its sum
+    is that of the end block up to the frame's end and that of the block before from the frame's start on: two running sums,
+    whose work does not grow with the rows of a frame. Each row goes to the block of its frame's end and lends its values to
+    its own block and the next. A block that is hot is summed per position first, and its running sums are split over tasks.
     """
     keys = list(keys)
     inputs = {n: f"_in_{n}" for n in totals}
+    width = before + after
     df = df.withColumns({inputs[n]: c for n, c in totals.items()})
-    frame = lambda by: W.partitionBy(*by).orderBy(at).rangeBetween(-before, after)
-    if not _is_hot(df, keys, hot):
-        return df.withColumns({n: F.sum(inputs[n]).over(frame(keys)) for n in totals}).drop(*inputs.values())
-    points = df.groupBy(*keys, at).agg(*[F.sum(inputs[n]).alias(inputs[n]) for n in totals])
-    rows = _sliced(points, keys, [at])
-    spans = rows.where(F.col(at).isNotNull()).groupBy("_slice", *keys).agg(F.min(at).alias("_low"), F.max(at).alias("_high"))
-    # One row a slice and key; a slice holds many keys or a part of a hot one, and only keys in several slices borrow.
-    several = spans.groupBy(*keys).agg(F.count("*").alias("_n")).where("_n > 1")
-    near = _null_safe(spans, several.drop("_n"), keys, "left_semi")
-    other = near.select(F.col("_slice").alias("_to"), *[F.col(k).alias(f"_k_{k}") for k in keys], F.col("_low").alias("_l"), F.col("_high").alias("_h"))
-    same = (F.col("_slice") != F.col("_to")) & (F.col("_high") >= F.col("_l") - before) & (F.col("_low") <= F.col("_h") + after)
-    for k in keys:
-        same = same & F.col(k).eqNullSafe(F.col(f"_k_{k}"))
-    lends = near.join(other, same).select("_slice", *keys, "_to", "_l", "_h")
-    lent = _null_safe(rows, lends, ["_slice", *keys], "inner")
-    lent = lent.where((F.col(at) >= F.col("_l") - before) & (F.col(at) <= F.col("_h") + after))
-    mine = rows.withColumn("_home", F.lit(True))
-    borrowed = lent.withColumn("_slice", F.col("_to")).withColumn("_home", F.lit(False)).select(*mine.columns)
-    both = mine.unionByName(borrowed)
-    summed = both.withColumns({n: F.sum(inputs[n]).over(frame(["_slice", *keys])) for n in totals}).where("_home")
-    found = summed.select(*keys, at, *totals)
-    return _null_safe(df, found, [*keys, at], "left").drop(*inputs.values())
+    kinds = {n: df.select(F.sum(inputs[n]).alias(n)).schema[n].dataType for n in totals}
+    time = F.col(at).cast("long")
+    # A row asks (0) and lends to its own block (1) and the next (2); where frames end with their row, 0 stands for 1 too.
+    own = 0 if after == 0 else 1
+    roles = [0, 2] if after == 0 else [0, 1, 2]
+    here = F.array(*map(F.lit, roles[:-1]))
+    role = F.when(time.isNull(), here).otherwise(F.array(*map(F.lit, roles)))
+    rows = df.withColumn("_role", F.explode(role))
+    asked, lent = F.col("_role") == 0, F.col("_role") == 2
+    size, end = F.lit(width + 1).cast("long"), time + F.lit(after).cast("long")
+    begun = lambda x: x - F.pmod(x, size)
+    rows = rows.withColumn("_block", F.when(asked, begun(end)).when(lent, begun(time) + size).otherwise(begun(time)))
+    rows = rows.withColumn("_place", F.when(asked, end).when(lent, time + F.lit(width).cast("long")).otherwise(time))
+    for n in totals:
+        rows = rows.withColumn(f"_up_{n}", F.when(F.col("_role") == own, F.col(inputs[n])))
+        rows = rows.withColumn(f"_down_{n}", F.when(lent, F.col(inputs[n])))
+    rows = rows.drop(*inputs.values())
+    group = [*keys, "_block"]
+    if not _is_hot(rows, group, hot):
+        reach = lambda order: W.partitionBy(*group).orderBy(order).rangeBetween(W.unboundedPreceding, W.currentRow)
+        up, down = reach(F.col("_place").asc()), reach(F.col("_place").desc())
+        summed = rows.withColumns(
+            {f"_{side}_{n}": F.sum(f"_{side}_{n}").over(w) for side, w in (("up", up), ("down", down)) for n in totals}
+        ).where(asked)
+    else:
+        sides = [f"_{side}_{n}" for side in ("up", "down") for n in totals]
+        points = rows.groupBy(*group, "_place").agg(*[F.sum(c).alias(c) for c in sides])
+        points = running_totals(points, group, ["_place"], {f"_sum_up_{n}": F.col(f"_up_{n}") for n in totals}, hot=True)
+        points = points.withColumn("_back", -F.col("_place"))
+        points = running_totals(points, group, ["_back"], {f"_sum_down_{n}": F.col(f"_down_{n}") for n in totals}, hot=True)
+        found = points.select(*group, "_place", *[F.col(f"_sum{c}").alias(c) for c in sides])
+        summed = _null_safe(rows.where(asked).drop(*sides), found, [*group, "_place"], "left")
+    for n in totals:
+        up, down = F.col(f"_up_{n}"), F.col(f"_down_{n}")
+        summed = summed.withColumn(n, F.coalesce(up + down, up, down).cast(kinds[n]))
+    return summed.drop("_role", "_block", "_place", *[f"_{side}_{n}" for side in ("up", "down") for n in totals])
 
 
 def _null_safe(left: DataFrame, right: DataFrame, on: Sequence[str], how: str) -> DataFrame:
