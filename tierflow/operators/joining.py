@@ -16,6 +16,8 @@ from tierflow.operators.ordered import last_known
 from tierflow.session import work_path
 
 METRES_PER_DEGREE = 111_195.0
+#: Pairs of a cell, near or not, that ``within_distance`` leaves to one task.
+PAIRS_A_TASK = 10_000_000
 
 
 def of_known_size(df: DataFrame) -> DataFrame:
@@ -121,6 +123,9 @@ def within_distance(sites: DataFrame, points: DataFrame, metres: float) -> DataF
     The globe is cut into bands of latitude as high as the distance, and each band into as many cells as its shorter edge
     has room for, so that cells are no narrower than the distance anywhere and the circle of longitudes is closed. A
     point lies in one cell; a site is repeated in the cells its reach touches, which are few near a pole too.
+
+    Points and sites take few bytes for the pairs they make, so that tasks are dealt by pairs: those of each cell are counted
+    first, and the points of a cell with many are dealt over parts, which each hold all its sites.
     """
     step = metres / METRES_PER_DEGREE * 1.0001
     bands = math.ceil(90 / step)
@@ -150,8 +155,19 @@ def within_distance(sites: DataFrame, points: DataFrame, metres: float) -> DataF
     placed = points.withColumn("_y", band(F.col("point_lat")))
     placed = placed.withColumn("_x", F.least(F.floor(turned(F.col("point_lon")) / (F.lit(360.0) / cells(y))), cells(y) - 1))
     distance = haversine_m("site_lat", "site_lon", "point_lat", "point_lon")
-    pairs = placed.join(spread, ["_y", "_x"]).withColumn("distance_m", distance)
-    return pairs.where(F.col("distance_m") <= metres).drop("_y", "_x")
+    cell = ["_y", "_x"]
+    met = placed.groupBy(*cell).agg(F.count("*").alias("_n")).join(spread.groupBy(*cell).agg(F.count("*").alias("_m")), cell)
+    share = F.col("_n").cast("double") * F.col("_m") / PAIRS_A_TASK
+    met = of_known_size(met.select(*cell, F.ceil(share).cast("int").alias("_parts"), share.alias("_share")))
+    tasks = max(1, math.ceil(met.agg(F.sum("_share")).first()[0] or 0))
+    dealt = F.pmod(F.xxhash64(*points.columns), F.col("_parts")).cast("int")
+    placed = placed.join(met, cell).withColumn("_part", dealt).drop("_parts", "_share")
+    parts = F.explode(F.sequence(F.lit(0), F.col("_parts") - 1))
+    spread = spread.join(met, cell).withColumn("_part", parts).drop("_parts", "_share")
+    placed, spread = (d.repartition(tasks, *cell, "_part") for d in (placed, spread))
+    # Both sides lie by cell and part already; the hint keeps sites, many once repeated, from a broadcast by the size of their table.
+    pairs = placed.join(spread.hint("merge"), [*cell, "_part"]).where(F.abs(F.col("point_lat") - lat) <= step)
+    return pairs.withColumn("distance_m", distance).where(F.col("distance_m") <= metres).drop(*cell, "_part")
 
 
 def calendar(bounds: DataFrame, first: str, last: str) -> DataFrame:
