@@ -48,7 +48,9 @@ class WordIds:
         return np.array(self.tokenizer.encode(word, add_special_tokens=False).ids, dtype="<u4").tobytes()
 
     def _learn_parts(self, parts: list[str]) -> None:
-        ids = np.array(self.tokenizer.encode(" ".join(parts), add_special_tokens=False).ids, dtype="<u4")
+        # The fast form leaves out where tokens stand in the text.
+        encoded = self.tokenizer.encode_batch_fast([" ".join(parts)], add_special_tokens=False)[0]
+        ids = np.array(encoded.ids, dtype="<u4")
         ends = np.flatnonzero(self.ends[ids]) + 1
         if len(ends) != len(parts):
             self.words.update((part, self._alone(part)) for part in parts)
